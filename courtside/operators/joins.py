@@ -1,0 +1,26 @@
+"""Joins with a side that is usually, but not provably, small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 100_000
+
+
+def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether ``df`` has at most ``rows`` rows; stops counting beyond that."""
+    return df.limit(rows + 1).count() <= rows
+
+
+def join_small(
+    left: DataFrame, right: DataFrame, on: list[str], how: str, rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Equi-join that broadcasts ``right`` only after its size was checked.
+
+    Beyond the bound the join is left to Spark, which shuffles both sides and splits
+    skewed partitions at run time.
+    """
+    if not right.isStreaming and fits(right, rows):
+        right = F.broadcast(right)
+    return left.join(right, on, how)
