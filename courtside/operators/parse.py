@@ -44,11 +44,12 @@ def parse_feed(feed: DataFrame) -> DataFrame:
     Records that are empty, broken JSON, not an object, or of no known kind are left
     out; :func:`quarantine` returns exactly those.
     """
-    message = decode_json("value", _MESSAGE)
-    parsed = (
-        feed.where(F.col("value").rlike(r"^\s*\{"))
-        .withColumn("m", message)
-        .where(F.col("m.tipo").isin(KNOWN_TAGS))
+    # Filters are not pushed below a generator, so every value is decoded once.
+    message = F.when(
+        F.col("value").rlike(r"^\s*\{"), F.array(decode_json("value", _MESSAGE))
+    )
+    parsed = feed.select("*", F.explode(message).alias("m")).where(
+        F.col("m.tipo").isin(KNOWN_TAGS)
     )
     action = F.col(f"m.detalhes.`{_ACTION_FIELD}`")
     player = other = F.lit(None).cast("string")

@@ -26,22 +26,20 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/courtside/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+def stage(
+    df: DataFrame, name: str, partition_by: list[str] | None = None, path: str | None = None
+) -> DataFrame:
     """Write ``df`` once and read it back.
 
     For frames several results are built from: the lineage ends at durable files, which
     survive lost executors, and later readers prune columns and push filters down.
     """
     path = path or new_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def write_parsed(parsed: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Store parsed messages by kind and day, so readers skip the other kinds' files."""
-    by_day = parsed.withColumn("day", F.to_date("ts"))
-    by_day.write.mode(mode).partitionBy("tipo", "day").parquet(path)
-
-
-def read_parsed(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("day")
+def stage_parsed(parsed: DataFrame, path: str | None = None) -> DataFrame:
+    """Store parsed messages by kind: text is decoded once, and a reader of one kind
+    (season markers, finals, starts) opens no files of the others."""
+    return stage(parsed, "parsed", ["tipo"], path)
