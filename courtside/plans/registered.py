@@ -22,7 +22,7 @@ from courtside.plans import ranking as rank
 from courtside.plans.catalog import team_catalog
 from courtside.schema import MATCH, ORDER
 from courtside.sources import tables
-from courtside.sources.store import stage, stage_parsed
+from courtside.sources.store import stored_once
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,18 +57,18 @@ def _plays(spark: SparkSession, sf: str) -> DataFrame:
     return parse.plays(parse.parse_feed(tables.plays_feed(tables.table(spark, sf, "events"))))
 
 
-def _season(spark: SparkSession, sf: str) -> DataFrame:
-    """Season and match assignment read the messages more than once, so they are stored."""
-    return segments.with_season(stage_parsed(_parsed(spark, sf)))
-
-
-def _match(spark: SparkSession, sf: str) -> DataFrame:
-    return segments.segment(stage_parsed(_parsed(spark, sf)))
+def _messages(spark: SparkSession, sf: str) -> DataFrame:
+    """The parsed feed as a table by message kind."""
+    source = f"{sf}/events.parquet"
+    return stored_once(spark, "parsed", source, lambda: _parsed(spark, sf), ["tipo"])
 
 
 def _stored(spark: SparkSession, sf: str) -> DataFrame:
-    """Parsed and segmented feed as a table, for results built from several reads of it."""
-    return stage(_match(spark, sf), "segmented", ["tipo"])
+    """The parsed feed with seasons and matches assigned, as a table by message kind."""
+    source = f"{sf}/events.parquet"
+    return stored_once(
+        spark, "segmented", source, lambda: segments.segment(_messages(spark, sf)), ["tipo"]
+    )
 
 
 def _ends(spark: SparkSession, sf: str) -> DataFrame:
@@ -147,7 +147,7 @@ def title_parse(spark, sf):
 
 @query
 def match_teams(spark, sf):
-    return latest.match_teams(_match(spark, sf))
+    return latest.match_teams(_stored(spark, sf))
 
 
 # Results of finals
@@ -187,35 +187,35 @@ def team_stats_topic(spark, sf):
 
 @query
 def season_markers(spark, sf):
-    marks = segments.season_markers(stage_parsed(_parsed(spark, sf)))
+    marks = segments.season_markers(_messages(spark, sf))
     return _plain_time(marks.select("season_id", "ts", F.size("teams").alias("n_teams")))
 
 
 @query
 def match_segments(spark, sf):
-    return parse.plays(_match(spark, sf)).select("partition", "offset", *MATCH)
+    return parse.plays(segments.segment(_messages(spark, sf))).select("partition", "offset", *MATCH)
 
 
 @query
 def season_segments_by_buckets(spark, sf):
     """Seasons by the running count used when starts are too many to broadcast."""
-    parsed = segments.with_season(stage_parsed(_parsed(spark, sf)), range_join_markers=0)
+    parsed = segments.with_season(_messages(spark, sf), range_join_markers=0)
     return parsed.groupBy("season_id", "tipo").agg(F.count("*").alias("messages"))
 
 
 @query
 def seed_order(spark, sf):
-    return segments.seed_order(parse.control(_season(spark, sf)))
+    return segments.seed_order(parse.control(_stored(spark, sf)))
 
 
 @query
 def seed_order_shuffled(spark, sf):
-    return segments.seed_order(parse.control(_season(spark, sf)), seed=7)
+    return segments.seed_order(parse.control(_stored(spark, sf)), seed=7)
 
 
 @query
 def season_info(spark, sf):
-    return latest.season_info(_season(spark, sf))
+    return latest.season_info(_stored(spark, sf))
 
 
 # Totals
@@ -242,17 +242,17 @@ def player_points_topic(spark, sf):
 
 @query
 def season_player_points(spark, sf):
-    return stats.season_player_points(parse.scoring_plays(parse.plays(_season(spark, sf))))
+    return stats.season_player_points(parse.scoring_plays(parse.plays(_stored(spark, sf))))
 
 
 @query
 def player_fouls(spark, sf):
-    return stats.player_fouls(parse.plays(_season(spark, sf)))
+    return stats.player_fouls(parse.plays(_stored(spark, sf)))
 
 
 @query
 def match_players(spark, sf):
-    return stats.match_players(parse.rosters(_match(spark, sf)))
+    return stats.match_players(parse.rosters(_stored(spark, sf)))
 
 
 @query
@@ -274,12 +274,12 @@ def player_season_averages(spark, sf):
 
 @query
 def box_score(spark, sf):
-    return stats.box_score(parse.plays(_match(spark, sf)))
+    return stats.box_score(parse.plays(_stored(spark, sf)))
 
 
 @query
 def turnovers(spark, sf):
-    return stats.turnovers(parse.plays(_match(spark, sf)))
+    return stats.turnovers(parse.plays(_stored(spark, sf)))
 
 
 # Odds
@@ -344,7 +344,7 @@ def open_game_odds(spark, sf):
 
 @query
 def live_matches(spark, sf):
-    return latest.live_matches(_match(spark, sf)).drop("start_order")
+    return latest.live_matches(_stored(spark, sf)).drop("start_order")
 
 
 @query
@@ -356,13 +356,13 @@ def team_matchups(spark, sf):
 
 @query
 def player_context(spark, sf):
-    feed = _season(spark, sf)
+    feed = _stored(spark, sf)
     return latest.player_context(parse.rosters(feed), parse.plays(feed))
 
 
 @query
 def match_scores(spark, sf):
-    return latest.match_scores(_match(spark, sf))
+    return latest.match_scores(_stored(spark, sf))
 
 
 @query
@@ -376,7 +376,7 @@ def match_lineups(spark, sf):
 
 @query
 def top_scorers(spark, sf):
-    return boxscore.top_scorers(stats.box_score(parse.plays(_match(spark, sf))))
+    return boxscore.top_scorers(stats.box_score(parse.plays(_stored(spark, sf))))
 
 
 @query
@@ -506,20 +506,20 @@ def _season_outcomes(feed: DataFrame) -> DataFrame:
 
 @query
 def season_standings(spark, sf):
-    feed = stage(_season(spark, sf), "season", ["tipo"])
+    feed = _stored(spark, sf)
     return rank.standings(_season_outcomes(feed), _seeds(feed))
 
 
 @query
 def all_time_standings(spark, sf):
-    feed = stage(_season(spark, sf), "season", ["tipo"])
+    feed = _stored(spark, sf)
     return rank.standings(_season_outcomes(feed), _seeds(feed), scope="all_time")
 
 
 @query
 def season_team_stats(spark, sf):
     """All-time results of orders, kept for the teams of the events feed's seasons."""
-    teams = _seeds(_season(spark, sf))
+    teams = _seeds(_stored(spark, sf))
     return rank.of_season_teams(stats.team_stats(_outcomes(spark, sf)), teams)
 
 
@@ -578,14 +578,14 @@ def _dashboard_tables(spark: SparkSession, sf: str) -> dash.Tables:
 @query
 def snapshot_maps(spark, sf):
     """Player totals through maps of at most about 50 entries, and back to rows."""
-    totals = stats.season_player_points(parse.scoring_plays(parse.plays(_season(spark, sf))))
+    totals = stats.season_player_points(parse.scoring_plays(parse.plays(_stored(spark, sf))))
     maps = dash.snapshot_maps(totals, entries=50)
     return maps.select("season_id", F.explode("player_points").alias("player", "total"))
 
 
 @query
 def standings_maps(spark, sf):
-    feed = stage(_season(spark, sf), "season", ["tipo"])
+    feed = _stored(spark, sf)
     maps = dash.standings_map(rank.standings(_season_outcomes(feed), _seeds(feed)))
     rows = maps.select("season_id", F.explode("team_standings").alias("key", "s"))
     return rows.select("season_id", "key", "s.*")

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
 _local_folder: list[str] = []
+_stored: dict[tuple, tuple[str, str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -39,7 +42,50 @@ def stage(
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def stage_parsed(parsed: DataFrame, path: str | None = None) -> DataFrame:
-    """Store parsed messages by kind: text is decoded once, and a reader of one kind
-    (season markers, finals, starts) opens no files of the others."""
-    return stage(parsed, "parsed", ["tipo"], path)
+def file_version(spark: SparkSession, path: str) -> tuple:
+    """Name, length and time of the files of a table; changes when the table does."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
+    return tuple(
+        sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files)
+    )
+
+
+def stored_once(
+    spark: SparkSession,
+    name: str,
+    source: str,
+    build: Callable[[], DataFrame],
+    partition_by: list[str] | None = None,
+) -> DataFrame:
+    """The table built from the files at ``source``, written once per session.
+
+    Further calls read what the first one wrote, until the source files change.
+    """
+    key = (spark.sparkContext.applicationId, name, file_version(spark, source))
+    if key in _stored:
+        path, schema = _stored[key]
+        try:
+            spark.read.parquet(path)
+        except AnalysisException:  # cleared away since: build it again
+            del _stored[key]
+        else:
+            return spark.read.schema(schema).parquet(path)
+    path = new_path(spark, name)
+    table = stage(build(), name, partition_by, path)
+    _stored[key] = (path, ", ".join(f"`{n}` {t}" for n, t in table.dtypes))
+    return table
+
+
+def write_parsed(parsed: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Store parsed messages by kind and day.
+
+    Text is decoded once, and a reader of one kind (season markers, starts, finals) or
+    of some days opens no other files.
+    """
+    by_day = parsed.withColumn("day", F.to_date("ts"))
+    by_day.write.mode(mode).partitionBy("tipo", "day").parquet(path)
+
+
+def read_parsed(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("day")
