@@ -22,7 +22,8 @@ from courtside.plans import ranking as rank
 from courtside.plans.catalog import team_catalog
 from courtside.schema import MATCH, ORDER
 from courtside.sources import tables
-from courtside.sources.store import stored_once
+from courtside.sources.store import new_path, stored_once
+from courtside.streaming import jobs, sinks, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -658,3 +659,86 @@ def _pick_query(mode: str) -> Query:
 
 for _mode in ("equal", "min", "max"):
     QUERIES[f"weighted_pick_{_mode}"] = _pick_query(_mode)
+
+
+# Streams over the same tables, run to the end of the data
+
+
+def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    schema = tables.table(spark, sf, name).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+
+
+def _scoring_stream(spark: SparkSession, sf: str) -> DataFrame:
+    feed = tables.plays_feed(_stream(spark, sf, "events"))
+    return parse.scoring_plays(parse.plays(parse.parse_feed(feed)))
+
+
+def _folder(spark: SparkSession) -> tuple[str, str]:
+    base = new_path(spark, "stream")
+    return f"{base}/table", f"{base}/checkpoint"
+
+
+def _run(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Run an append-only stream over everything there is and read its table."""
+    path, checkpoint = _folder(spark)
+    sinks.write_stream(df, path, checkpoint, available_now=True).awaitTermination()
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@query
+def stream_player_points(spark, sf):
+    path, checkpoint = _folder(spark)
+    feed = tables.plays_feed(_stream(spark, sf, "events"))
+    jobs.player_points(feed, path, checkpoint, available_now=True).awaitTermination()
+    return sinks.read_latest(spark, path, ["player"])
+
+
+@query
+def stream_team_stats(spark, sf):
+    path, checkpoint = _folder(spark)
+    feed = tables.finals_of(_stream(spark, sf, "orders"))
+    jobs.team_stats(feed, path, checkpoint, available_now=True).awaitTermination()
+    return sinks.read_latest(spark, path, ["team"])
+
+
+@query
+def stream_odds(spark, sf):
+    path, checkpoint = _folder(spark)
+    feed = tables.plays_feed(_stream(spark, sf, "events"))
+    jobs.odds(feed, path, checkpoint, available_now=True).awaitTermination()
+    return _plain_time(_rounded(spark.read.parquet(path), "oddsA", "oddsB"))
+
+
+@query
+def stream_hot_streaks(spark, sf):
+    """Closed windows only: the stream waits for the rest."""
+    found = jobs.hot_streak_windows(_scoring_stream(spark, sf), STREAK_WINDOW)
+    return _plain_time(_run(spark, found))
+
+
+@query
+def stream_hot_streak_updates(spark, sf):
+    sinks.configure_state(spark)
+    found = stateful.hot_streak_updates(_scoring_stream(spark, sf), STREAK_WINDOW)
+    return _plain_time(_run(spark, found))
+
+
+@query
+def stream_simultaneous_streaks(spark, sf):
+    """Two queries with a table of alerts between them."""
+    found = jobs.hot_streak_windows(_scoring_stream(spark, sf), STREAK_WINDOW)
+    path, checkpoint = _folder(spark)
+    sinks.write_stream(found, path, checkpoint, available_now=True).awaitTermination()
+    stored = sinks.read_table_stream(spark, path, found.schema)
+    return _plain_time(_run(spark, jobs.simultaneous_windows(stored, TOGETHER_WINDOW)))
+
+
+@query
+def stream_match_state(spark, sf):
+    sinks.configure_state(spark)
+    stored = _messages(spark, sf)
+    path = stored.inputFiles()[0].rsplit("/tipo=", 1)[0]
+    messages = spark.readStream.schema(stored.schema).parquet(path)
+    return _run(spark, stateful.match_state_stream(messages))

@@ -618,4 +618,39 @@ ORACLE: dict[str, str] = {
     "weighted_pick_equal": _pick("1"),
     "weighted_pick_min": _pick('(11 - "Rank")'),
     "weighted_pick_max": _pick('"Rank"'),
+    # Streams, up to what their watermark has closed
+    "stream_hot_streaks": _events(
+        _streaks(21600, 2)
+        + " AND (epoch_us(max(ts)) // 21600000000 + 1) * 21600000000 <= (SELECT max(epoch_us(ts)) FROM scoring)"
+    ),
+    "stream_hot_streak_updates": _events(
+        """SELECT player, make_timestamp(epoch_us(ts) // 21600000000 * 21600000000) AS window_start, total AS points,
+             ts AS alert_ts, "partition", "offset",
+             'O ' || player || ' está pegando fogo! Fez ' || total || ' pontos em sequência!' AS message FROM upd"""
+    ),
+    "stream_simultaneous_streaks": _events(
+        """SELECT make_timestamp(h * 3600000000) AS window_start, make_timestamp((h + 1) * 3600000000) AS window_end, count(*) AS streaks
+           FROM (SELECT epoch_us(a) // 3600000000 AS h, max(epoch_us(a)) OVER () AS newest
+                 FROM (SELECT max(ts) AS a FROM scoring GROUP BY player, epoch_us(ts) // 21600000000
+                       HAVING sum(points) > 2 AND (epoch_us(max(ts)) // 21600000000 + 1) * 21600000000
+                              <= (SELECT max(epoch_us(ts)) FROM scoring)))
+           WHERE (h + 1) * 3600000000 <= newest GROUP BY h HAVING count(*) >= 2"""
+    ),
+    "stream_match_state": _events(
+        """SELECT game_key, "offset", match_seq,
+             CAST(coalesce(last_value(CASE WHEN ok THEN sh END IGNORE NULLS) OVER m, 0) AS BIGINT) AS home_score,
+             CAST(coalesce(last_value(CASE WHEN ok THEN sa END IGNORE NULLS) OVER m, 0) AS BIGINT) AS away_score,
+             CAST(coalesce(last_value(q IGNORE NULLS) OVER m, -1) AS BIGINT) AS quarter,
+             CAST(count(*) FILTER (WHERE action = 'TURNOVER') OVER m AS BIGINT) AS turnovers,
+             bool_or(kind = 2) OVER m AS ended,
+             CASE WHEN action = 'POINT' AND player <> '' THEN CAST(sum(points) OVER p AS BIGINT) END AS player_total
+           FROM (SELECT game_key, match_seq, {ORDER}, 1 AS kind, NOT bad_line AS ok, sh, sa, q, action, team, player, points FROM plays
+                 UNION ALL SELECT game_key, match_seq, {ORDER}, 0, false, 0, 0, NULL, NULL, NULL, NULL, NULL FROM starts
+                 UNION ALL SELECT game_key, match_seq, {ORDER}, 2, true, sh, sa, NULL, NULL, NULL, NULL, NULL FROM finals)
+           WINDOW m AS (PARTITION BY game_key, match_seq ORDER BY {ORDER} ROWS UNBOUNDED PRECEDING),
+                  p AS (PARTITION BY game_key, match_seq, team, player, action ORDER BY {ORDER} ROWS UNBOUNDED PRECEDING)"""
+    ),
 }
+
+for _same in ("player_points", "team_stats", "odds"):
+    ORACLE[f"stream_{_same}"] = ORACLE[_same]
