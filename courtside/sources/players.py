@@ -15,11 +15,12 @@ def read_players(spark: SparkSession, path: str, keep_index: bool = False) -> Da
     Lists without shot rates get NULLs there. ``keep_index`` keeps the first column as
     ``idx``, the list order other operators need.
     """
-    header = spark.read.option("header", True).csv(path).columns
+    layout = {"header": True, "escape": '"', "encoding": "UTF-8"}
+    header = spark.read.options(**layout).csv(path).columns
     schema = ", ".join(
         f"`{c}` {_TYPES.get(c, 'STRING')}" for c in ["idx", *header[1:]]
     )
-    read = spark.read.option("header", True).option("enforceSchema", True).schema(schema).csv(path)
+    read = spark.read.options(**layout).schema(schema).csv(path)
     missing = [c for c in _COLUMNS if c not in read.columns]
     full = read.withColumns(
         {c: F.lit(None).cast(_TYPES.get(c, "STRING")) for c in missing}

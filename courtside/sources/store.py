@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
 _local_folder: list[str] = []
-_stored: dict[tuple, tuple[str, str]] = {}
+_stored: dict[tuple, tuple[str, list[tuple[str, str]]]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -64,16 +64,17 @@ def stored_once(
     """
     key = (spark.sparkContext.applicationId, name, file_version(spark, source))
     if key in _stored:
-        path, schema = _stored[key]
+        path, columns = _stored[key]
         try:
             spark.read.parquet(path)
         except AnalysisException:  # cleared away since: build it again
             del _stored[key]
         else:
-            return spark.read.schema(schema).parquet(path)
+            schema = ", ".join(f"`{n}` {t}" for n, t in columns)
+            return spark.read.schema(schema).parquet(path).select(*[n for n, _ in columns])
     path = new_path(spark, name)
     table = stage(build(), name, partition_by, path)
-    _stored[key] = (path, ", ".join(f"`{n}` {t}" for n, t in table.dtypes))
+    _stored[key] = (path, table.dtypes)
     return table
 
 
