@@ -10,6 +10,7 @@ ALERT_FORMAT = "O %s está pegando fogo! Fez %d pontos em sequência!"
 ALERT_PATTERN = r"O (.+) está pegando fogo! Fez (\d+) pontos"
 SIMULTANEOUS_SUFFIX = " jogadores em hot streak simultânea"
 NO_VALUE = "—"
+_SPACES = " \t\n\x0b\f\r"
 
 
 def _col(c: Column | str) -> Column:
@@ -28,7 +29,8 @@ def strict_int(c: Column | str) -> Column:
 
 
 def is_blank(c: Column | str) -> Column:
-    return F.coalesce(_col(c).rlike(r"^\s*$"), F.lit(True))
+    """NULL, empty, or white space only."""
+    return F.coalesce(F.btrim(_col(c), F.lit(_SPACES)) == "", F.lit(True))
 
 
 def encode_int(c: Column | str, width: int = 4) -> Column:

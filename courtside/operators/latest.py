@@ -20,13 +20,18 @@ def _last(value: Column | str, when: Column | None = None) -> Column:
     return F.max_by(value, order_key() if when is None else F.when(when, order_key()))
 
 
-def _match_rows(parsed: DataFrame) -> DataFrame:
-    """Start, play and final messages with the score line read the dashboard's way."""
+def _match_lines(parsed: DataFrame) -> DataFrame:
+    """Start, play and final messages with the score line each one shows.
+
+    ``titled`` marks lines that may name the teams without scores.
+    """
     is_start, is_final = F.col("tipo") == START, F.col("tipo") == FINAL
     in_title = is_final | (is_start & is_blank("scoreboard"))
-    line = F.when(in_title, F.col("match_line")).otherwise(F.col("scoreboard"))
-    return parsed.where(F.col("tipo").isin(START, PLAY, FINAL)).withColumn(
-        "s", scoreboard(line, "dashboard", is_start)
+    return parsed.where(F.col("tipo").isin(START, PLAY, FINAL)).withColumns(
+        {
+            "line": F.when(in_title, F.col("match_line")).otherwise(F.col("scoreboard")),
+            "titled": is_start,
+        }
     )
 
 
@@ -34,36 +39,45 @@ def live_matches(parsed: DataFrame) -> DataFrame:
     """Latest score and quarter of every match that is not over.
 
     Only the newest match of a game key is live. An unreadable score line blanks the
-    score; a missing quarter keeps the one before.
+    score; a missing quarter keeps the one before. Lines are read after the last one of
+    each match is known, so one line per match is read.
     """
     key = match_key(parsed)
     final = F.col("tipo") == FINAL
     per_match = (
-        _match_rows(parsed)
+        _match_lines(parsed)
         .groupBy(*key)
         .agg(
-            _last("s", ~final).alias("s"),
+            _last(F.struct("line", "titled"), ~final).alias("l"),
             _last("quarter", ~final & F.col("quarter").isNotNull()).alias("quarter"),
             F.min(F.when(~final, order_key())).alias("start_order"),
-            F.max(F.when(~final, order_key())).alias("last_order"),
             F.bool_or(final).alias("ended"),
         )
     )
-    state = F.struct("s", "quarter", "start_order", "last_order", "ended")
+    state = F.struct("l", "quarter", "start_order", "ended")
     newest = per_match.groupBy("season_id", "game_key").agg(
         F.max("match_seq").alias("match_seq"), F.max_by(state, "match_seq").alias("m")
     )
-    return newest.where(~F.col("m.ended")).select(
+    open_matches = newest.where(~F.col("m.ended")).withColumn(
+        "s", scoreboard(F.col("m.l.line"), "dashboard", F.col("m.l.titled"))
+    )
+    return open_matches.select(
         *key,
-        F.col("m.s.home").alias("home"),
-        F.col("m.s.away").alias("away"),
-        F.col("m.s.home_score").alias("home_score"),
-        F.col("m.s.away_score").alias("away_score"),
+        "s.home",
+        "s.away",
+        "s.home_score",
+        "s.away_score",
         F.coalesce("m.quarter", F.lit(0)).alias("quarter"),
         F.col("m.start_order").alias("start_order"),
     )
 
 
+def last_plays(plays: DataFrame, by: list[str]) -> DataFrame:
+    """The newest play of each key: enough for the newest odds, which each play restates."""
+    rest = [c for c in plays.columns if c not in by]
+    return plays.groupBy(*by).agg(_last(F.struct(*rest)).alias("p")).select(*by, "p.*")
+
+
 def latest_odds(odds: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Newest odds, over all rows or per key; missing values read as blank and 0."""
     state = F.struct(
@@ -100,11 +114,14 @@ def team_matchups(parsed: DataFrame, odds: DataFrame) -> DataFrame:
     key = match_key(parsed)
     named = ~is_blank("s.home") & ~is_blank("s.away")
     final = F.col("tipo") == FINAL
+    # Unreadable lines are passed over inside the aggregate: a filter on the score would
+    # be pushed below its projection and read every line twice.
     per_match = (
-        _match_rows(parsed)
-        .where(named)
+        _match_lines(parsed)
+        .withColumn("s", scoreboard("line", "dashboard", F.col("titled")))
         .groupBy(*key, final.alias("is_final"))
-        .agg(_last("s").alias("s"), F.max(order_key()).alias("at"))
+        .agg(_last("s", named).alias("s"), F.max(F.when(named, order_key())).alias("at"))
+        .where(F.col("at").isNotNull())
     )
     priced = per_match.join(latest_odds(odds, key), key, "left")
     home, away = F.col("s.home"), F.col("s.away")
@@ -177,7 +194,8 @@ def match_scores(parsed: DataFrame) -> DataFrame:
     """Last readable (wide) score line and last positive quarter of each match."""
     key = match_key(parsed)
     line = F.when(F.col("tipo") == FINAL, F.col("match_line")).otherwise(F.col("scoreboard"))
-    rows = parsed.where(F.col("tipo").isin(PLAY, FINAL)).withColumn("s", scoreboard(line, "wide"))
+    shown = parsed.where(F.col("tipo").isin(PLAY, FINAL)).withColumn("line", line)
+    rows = shown.withColumn("s", scoreboard("line", "wide"))
     return (
         rows.groupBy(*key)
         .agg(

@@ -38,9 +38,7 @@ def odds(plays: DataFrame) -> DataFrame:
 def match_outcomes(match_ends: DataFrame) -> DataFrame:
     """Two rows per readable final, one per side. A draw is a loss for both."""
     keep = [c for c in match_ends.columns if c != "final_scoreboard"]
-    read = match_ends.select(*keep, scoreboard("final_scoreboard").alias("s")).where(
-        F.col("s").isNotNull()
-    )
+    read = match_ends.select(*keep, scoreboard("final_scoreboard").alias("s"))
 
     def side(team: str, score: str, other: str) -> F.Column:
         return F.struct(
@@ -50,12 +48,14 @@ def match_outcomes(match_ends: DataFrame) -> DataFrame:
             (F.col(f"s.{score}") > F.col(f"s.{other}")).alias("is_win"),
         )
 
-    sides = F.explode(
+    # An unreadable line explodes to nothing, so no filter repeats the reading.
+    sides = F.when(
+        F.col("s").isNotNull(),
         F.array(
             side("home", "home_score", "away_score"), side("away", "away_score", "home_score")
-        )
+        ),
     )
-    return read.select(*keep, sides.alias("o")).select(*keep, "o.*")
+    return read.select(*keep, F.explode(sides).alias("o")).select(*keep, "o.*")
 
 
 def team_stats(outcomes: DataFrame, by: list[str] | None = None) -> DataFrame:

@@ -55,7 +55,7 @@ def tables(
     """
     played, started = plays(segmented), rosters(segmented)
     scored, ended = scoring_plays(played), match_ends(segmented)
-    priced = stats.odds(played)
+    priced = stats.odds(latest.last_plays(played, MATCH))
     seeds = seed_order(control(segmented))
     points = stats.season_player_points(scored)
     context = latest.player_context(started, played)
@@ -176,7 +176,7 @@ def match_tables(segmented: DataFrame) -> dict[str, DataFrame]:
             latest.match_scores(segmented),
             latest.match_teams(segmented),
             stats.turnovers(played),
-            latest.latest_odds(stats.odds(played), MATCH),
+            latest.latest_odds(stats.odds(latest.last_plays(played, MATCH)), MATCH),
         ),
         "top_scorers": boxscore.top_scorers(box),
         "report": boxscore.match_report(box, lineup),

@@ -21,6 +21,7 @@ from courtside.plans import dashboard as dash
 from courtside.plans import ranking as rank
 from courtside.plans.catalog import team_catalog
 from courtside.schema import MATCH, ORDER
+from courtside.session import configure
 from courtside.sources import tables
 from courtside.sources.store import new_path, stored_once
 from courtside.streaming import jobs, sinks, stateful
@@ -36,8 +37,15 @@ EXTRA_NAMES = {f"T{i}": f"Team {i}" for i in range(0, 2 * tables.GAMES, 2)}
 QUERIES: dict[str, Query] = {}
 
 
+def register(name: str, fn: Query) -> None:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        return fn(configure(spark), sf)
+
+    QUERIES[name] = run
+
+
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    register(fn.__name__, fn)
     return fn
 
 
@@ -48,13 +56,11 @@ def _plain_time(df: DataFrame) -> DataFrame:
 
 
 def _parsed(spark: SparkSession, sf: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return parse.parse_feed(tables.events_feed(spark, sf))
 
 
 def _plays(spark: SparkSession, sf: str) -> DataFrame:
     """All plays without season and match: only the play records are derived."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return parse.plays(parse.parse_feed(tables.plays_feed(tables.table(spark, sf, "events"))))
 
 
@@ -73,7 +79,6 @@ def _stored(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _ends(spark: SparkSession, sf: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return parse.match_ends(parse.parse_feed(tables.finals_feed(spark, sf)))
 
 
@@ -118,7 +123,6 @@ def control(spark, sf):
 
 @query
 def quarantine(spark, sf):
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     bad = parse.quarantine(tables.events_feed(spark, sf))
     return bad.select("partition", "offset", "value", "reason")
 
@@ -137,7 +141,7 @@ def _score_line_query(form: str) -> Query:
 
 
 for _form in ("wide", "strict", "dashboard", "odds"):
-    QUERIES[f"scoreboard_{_form}"] = _score_line_query(_form)
+    register(f"scoreboard_{_form}", _score_line_query(_form))
 
 
 @query
@@ -324,19 +328,22 @@ def win_probabilities(spark, sf):
 
 @query
 def latest_odds(spark, sf):
-    return _rounded(latest.latest_odds(stats.odds(_plays(spark, sf))), "oddsA", "oddsB")
+    newest = latest.last_plays(_plays(spark, sf), [])
+    return _rounded(latest.latest_odds(stats.odds(newest)), "oddsA", "oddsB")
 
 
 @query
 def latest_odds_by_game(spark, sf):
-    found = latest.latest_odds(stats.odds(_plays(spark, sf)), ["game_key"])
+    newest = latest.last_plays(_plays(spark, sf), ["game_key"])
+    found = latest.latest_odds(stats.odds(newest), ["game_key"])
     return _rounded(found, "oddsA", "oddsB")
 
 
 @query
 def open_game_odds(spark, sf):
     feed = _stored(spark, sf)
-    found = latest.game_odds(stats.odds(parse.plays(feed)), parse.match_ends(feed))
+    newest = latest.last_plays(parse.plays(feed), MATCH)
+    found = latest.game_odds(stats.odds(newest), parse.match_ends(feed))
     return _rounded(found, "oddsA", "oddsB")
 
 
@@ -351,7 +358,8 @@ def live_matches(spark, sf):
 @query
 def team_matchups(spark, sf):
     feed = _stored(spark, sf)
-    found = latest.team_matchups(feed, stats.odds(parse.plays(feed)))
+    newest = latest.last_plays(parse.plays(feed), MATCH)
+    found = latest.team_matchups(feed, stats.odds(newest))
     return _rounded(found, "team_odds", "opponent_odds")
 
 
@@ -528,7 +536,8 @@ def season_team_stats(spark, sf):
 def ranking(spark, sf):
     feed = _stored(spark, sf)
     standing = rank.standings(_season_outcomes(feed), _seeds(feed))
-    matchups = latest.team_matchups(feed, stats.odds(parse.plays(feed)))
+    newest = latest.last_plays(parse.plays(feed), MATCH)
+    matchups = latest.team_matchups(feed, stats.odds(newest))
     found = rank.ranking(standing, team_catalog(spark, EXTRA_NAMES), matchups)
     label = text.odds_label("team_odds")
     return _rounded(found.withColumn("odds_label", label), "team_odds", "opponent_odds").drop(
@@ -658,14 +667,13 @@ def _pick_query(mode: str) -> Query:
 
 
 for _mode in ("equal", "min", "max"):
-    QUERIES[f"weighted_pick_{_mode}"] = _pick_query(_mode)
+    register(f"weighted_pick_{_mode}", _pick_query(_mode))
 
 
 # Streams over the same tables, run to the end of the data
 
 
 def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     schema = tables.table(spark, sf, name).schema
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
 
