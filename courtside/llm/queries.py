@@ -8,19 +8,31 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.llm import byte_bpe, decontamination, token_counts
+from courtside.llm import byte_bpe, decontamination, language_id, quality, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document."""
+    docs = _table(spark, sf_dir, "documents")
+    return quality.classify(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document under the byte-level tokenizer file."""
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), path)
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    docs = _table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.fit(docs))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by the ranks of the many-language table, and back."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -41,7 +53,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op2_token_counts": op2_token_counts,
+    "op6_language_id": op6_language_id,
     "op8_byte_bpe": op8_byte_bpe,
     "op10_decontamination": op10_decontamination,
 }
