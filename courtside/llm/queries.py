@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.llm import byte_bpe, chat, decontamination, language_id, quality, token_counts, toxicity
+from courtside.llm import byte_bpe, chat, decontamination, hidden_markov, language_id, quality, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,11 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The probability of every document under a hidden Markov model of the corpus."""
+    return hidden_markov.score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie within a window of a benchmark item."""
     hits = decontamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_language_id": op6_language_id,
     "op7_chat": op7_chat,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_language_model": op9_language_model,
     "op10_decontamination": op10_decontamination,
 }
 
