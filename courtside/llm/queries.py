@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.llm import byte_bpe, chat, decontamination, hidden_markov, language_id, quality, token_counts, toxicity
+from courtside.llm import byte_bpe, chat, decontamination, embedding_dedup, hidden_markov, jaccard_join, language_id, quality, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,16 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings."""
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes and links of all documents."""
+    return jaccard_join.similar_texts(_table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document."""
     docs = _table(spark, sf_dir, "documents")
@@ -76,6 +86,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_token_counts": op2_token_counts,
     "op3_toxicity": op3_toxicity,
+    "op4_embedding_dedup": op4_embedding_dedup,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_language_id": op6_language_id,
     "op7_chat": op7_chat,
     "op8_byte_bpe": op8_byte_bpe,
