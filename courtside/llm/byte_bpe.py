@@ -263,35 +263,47 @@ def decode(ids: Column, path: str, pattern: str) -> Column:
     return run(ids)
 
 
-def round_trip(text: Column, path: str, pattern: str, **limits: int) -> Column:
+def round_trip(text: Column, path: str, pattern: str, with_ids: bool = False, **limits: int) -> Column:
     """A struct of the ids' number, the digest of the decimal ids joined by commas, and the
-    digest of the bytes that the ids decode to. Ids stay within the task."""
+    digest of the bytes that the ids decode to; the ids themselves if ``with_ids``."""
 
-    @F.arrow_udf("struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>")
+    @F.arrow_udf(
+        "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string" + ",ids:array<int>" * with_ids + ">"
+    )
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = codec(path, pattern, **limits)
         decimal = {rank: str(rank) for rank in own.bytes_of}
         for batch in batches:
-            counts, ids_sha, decoded_sha = [], [], []
+            counts, ids_sha, decoded_sha, all_ids = [], [], [], []
             for text in batch:
                 ids = own.encode(text.as_py() or "")
                 counts.append(len(ids))
+                if with_ids:
+                    all_ids.append(ids)
                 joined = ",".join(map(decimal.__getitem__, ids.tolist()))
                 ids_sha.append(hashlib.sha256(joined.encode()).hexdigest())
                 decoded_sha.append(hashlib.sha256(own.decode(ids)).hexdigest())
             yield pa.StructArray.from_arrays(
-                [pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())],
-                ["n_tokens", "ids_sha256", "decoded_sha256"],
+                [pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())]
+                + [_lists(all_ids)] * with_ids,
+                ["n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids,
             )
 
     return run(text.cast("string"))
 
 
 def round_trip_digests(
-    df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", **limits: int
+    df: DataFrame,
+    path: str,
+    pattern: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    with_ids: bool = False,
+    **limits: int,
 ) -> DataFrame:
-    """One row per input row: the id, ``n_tokens``, ``ids_sha256``, ``decoded_sha256``. No shuffle."""
+    """One row per input row: the id, ``n_tokens``, ``ids_sha256``, ``decoded_sha256``, and
+    ``ids`` if ``with_ids``. No shuffle."""
     done = df.select(
-        F.col(id_col).alias(id_col), round_trip(F.col(text_col), path, pattern, **limits).alias("_r")
+        F.col(id_col).alias(id_col), round_trip(F.col(text_col), path, pattern, with_ids, **limits).alias("_r")
     )
     return done.select(id_col, "_r.*")

@@ -249,3 +249,24 @@ def contamination(
         F.col("_id").alias(id_col), F.coalesce("_met", "_none").alias("hits")
     )
 
+
+def clean(
+    df: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    window: int = 10,
+    block_bytes: int = 16 << 20,
+) -> DataFrame:
+    """The rows of ``df`` whose text holds no window of any item. A filter per block of items,
+    without a shuffle; rows that a block rejects are staged away before the next block."""
+    shared = Shared(df.sparkSession)
+    blocks = item_blocks(benchmark, item_col, item_text_col, block_bytes)
+    kept, block = df, next(blocks)
+    while block is not None:
+        kept = kept.where(_hits(F.col(text_col).cast("string"), block, window)["n_hit"] == 0)
+        block = next(blocks, None)
+        if block is not None:
+            kept = shared.table(kept)
+    return kept
