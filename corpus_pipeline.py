@@ -44,7 +44,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each class of similar texts."""
     classes = jaccard_join.similar_texts(docs)
     first = classes.where(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(first, docs["doc_id"] == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
+    kept = docs.join(first, docs["doc_id"] == first["_id"], "left_semi").dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where("doc_id IS NULL"))
 
 
