@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 ALERT_FORMAT = "O %s está pegando fogo! Fez %d pontos em sequência!"
 ALERT_PATTERN = r"O (.+) está pegando fogo! Fez (\d+) pontos"
 SIMULTANEOUS_SUFFIX = " jogadores em hot streak simultânea"
+# Labels that readers of the tables know (fixed values).
 NO_VALUE = "—"
+AVERAGE_FORMAT = "%.1f méd"
+LIVE_LABEL = "Ao vivo"
+QUARTER_SUFFIX = "º Q"
 _SPACES = " \t\n\x0b\f\r"
 
 
@@ -87,14 +91,14 @@ def odds_label(odds: Column | str) -> Column:
 
 def average_label(games: Column | str, average: Column | str) -> Column:
     return F.when(_col(games) <= 0, NO_VALUE).otherwise(
-        F.format_string("%.1f méd", _col(average))
+        F.format_string(AVERAGE_FORMAT, _col(average))
     )
 
 
 def quarter_label(quarter: Column | str) -> Column:
     quarter = _col(quarter)
-    return F.when(quarter <= 0, "Ao vivo").otherwise(
-        F.concat(quarter.cast("string"), F.lit("º Q"))
+    return F.when(quarter <= 0, LIVE_LABEL).otherwise(
+        F.concat(quarter.cast("string"), F.lit(QUARTER_SUFFIX))
     )
 
 

@@ -12,13 +12,13 @@ from courtside.operators.parse import match_key
 def top_scorers(box: DataFrame, n: int = 3) -> DataFrame:
     """The ``n`` best scorers of each match side; ties by name.
 
-    The rank filter lets Spark drop rows before the shuffle. Players with fouls but no
-    points are no scorers.
+    The rank filter lets Spark drop rows before the shuffle. Whoever made a scoring play is
+    a scorer, whatever it counted; players with fouls only are none.
     """
     key = [*match_key(box), "team"]
     best = Window.partitionBy(*key).orderBy(F.desc("points"), "player")
     return (
-        box.where(F.col("points") > 0)
+        box.where(F.col("scoring_plays") > 0)
         .withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= n)
         .select(*key, "rank", "player", "points")

@@ -20,7 +20,7 @@ def _last(value: Column | str, when: Column | None = None) -> Column:
     return F.max_by(value, order_key() if when is None else F.when(when, order_key()))
 
 
-def _match_lines(parsed: DataFrame) -> DataFrame:
+def match_lines(parsed: DataFrame) -> DataFrame:
     """Start, play and final messages with the score line each one shows.
 
     ``titled`` marks lines that may name the teams without scores.
@@ -45,7 +45,7 @@ def live_matches(parsed: DataFrame) -> DataFrame:
     key = match_key(parsed)
     final = F.col("tipo") == FINAL
     per_match = (
-        _match_lines(parsed)
+        match_lines(parsed)
         .groupBy(*key)
         .agg(
             _last(F.struct("line", "titled"), ~final).alias("l"),
@@ -117,7 +117,7 @@ def team_matchups(parsed: DataFrame, odds: DataFrame) -> DataFrame:
     # Unreadable lines are passed over inside the aggregate: a filter on the score would
     # be pushed below its projection and read every line twice.
     per_match = (
-        _match_lines(parsed)
+        match_lines(parsed)
         .withColumn("s", scoreboard("line", "dashboard", F.col("titled")))
         .groupBy(*key, final.alias("is_final"))
         .agg(_last("s", named).alias("s"), F.max(F.when(named, order_key())).alias("at"))

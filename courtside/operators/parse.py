@@ -38,19 +38,23 @@ def _text(c: Column | str) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 
 
+def _decoded(feed: DataFrame) -> DataFrame:
+    """Every record with its message ``m`` (NULL where it is no object) and ``readable``."""
+    # Filters are not pushed below a generator, so every value is decoded once.
+    message = F.when(F.col("value").rlike(r"^\s*\{"), decode_json("value", _MESSAGE))
+    known = F.col("m.tipo").isin(KNOWN_TAGS) & F.col("ts").isNotNull()
+    return feed.select("*", F.explode(F.array(message)).alias("m")).withColumn(
+        "readable", F.coalesce(known, F.lit(False))
+    )
+
+
 def parse_feed(feed: DataFrame) -> DataFrame:
     """One row per readable record, with every field any message kind uses.
 
-    Records that are empty, broken JSON, not an object, or of no known kind are left
-    out; :func:`quarantine` returns exactly those.
+    Records that are empty, broken JSON, not an object, of no known kind, or without a
+    time are left out; :func:`quarantine` returns exactly those.
     """
-    # Filters are not pushed below a generator, so every value is decoded once.
-    message = F.when(
-        F.col("value").rlike(r"^\s*\{"), F.array(decode_json("value", _MESSAGE))
-    )
-    parsed = feed.select("*", F.explode(message).alias("m")).where(
-        F.col("m.tipo").isin(KNOWN_TAGS)
-    )
+    parsed = _decoded(feed).where("readable")
     action = F.col(f"m.detalhes.`{_ACTION_FIELD}`")
     player = other = F.lit(None).cast("string")
     for name, (first, second) in _PLAYERS.items():
@@ -87,15 +91,16 @@ def parse_feed(feed: DataFrame) -> DataFrame:
 
 def quarantine(feed: DataFrame) -> DataFrame:
     """The records :func:`parse_feed` leaves out, each with the reason."""
-    looks_like_object = F.col("value").rlike(r"^\s*\{")
-    tag = decode_json("value", "tipo STRING").getField("tipo")
+    known = F.coalesce(F.col("m.tipo").isin(KNOWN_TAGS), F.lit(False))
     reason = (
-        F.when(is_blank("value"), "empty")
+        F.when(known, "no time")
+        .when(is_blank("value"), "empty")
         .when(F.try_parse_json("value").isNull(), "malformed")
-        .when(~looks_like_object, "not an object")
-        .when(tag.isNull() | ~tag.isin(KNOWN_TAGS), "unknown kind")
+        .when(~F.col("value").rlike(r"^\s*\{"), "not an object")
+        .otherwise("unknown kind")
     )
-    return feed.withColumn("reason", reason).where(F.col("reason").isNotNull())
+    left_out = _decoded(feed).where(~F.col("readable"))
+    return left_out.select(*feed.columns, reason.alias("reason"))
 
 
 def plays(parsed: DataFrame) -> DataFrame:

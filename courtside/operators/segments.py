@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from courtside.operators.joins import fits
-from courtside.operators.ordered import BUCKET_SECONDS, running
+from courtside.operators.ordered import time_bucket
 from courtside.operators.parse import control
 from courtside.schema import ORDER, SEASON_START, START, order_key
 
-# A nested-loop range join costs rows x markers, so it is kept to a handful of markers.
-RANGE_JOIN_MARKERS = 64
+# Intervals between markers are cut at days: long enough that few pieces arise, short
+# enough that a piece meets few others.
+PIECE_SECONDS = 86_400
 
 
 def _opens_season(parsed: DataFrame) -> DataFrame:
@@ -22,48 +22,81 @@ def _opens_season(parsed: DataFrame) -> DataFrame:
 
 def season_markers(parsed: DataFrame) -> DataFrame:
     """One row per season start, numbered from 1 in feed order."""
-    return running(
-        _opens_season(parsed).select(*ORDER, "teams"), [], ORDER, sums={"season_id": F.lit(1)}
-    ).withColumn("season_id", F.col("season_id").cast("bigint"))
+    # A season start is one message of a whole season: the markers are few.
+    number = F.row_number().over(Window.orderBy(*ORDER)).cast("bigint")
+    return _opens_season(parsed).select(*ORDER, "teams", number.alias("season_id"))
+
+
+def _numbered(markers: DataFrame, by: list[str], name: str) -> DataFrame:
+    """Markers (``by`` and feed order) with their number and the interval up to the next."""
+    in_order = Window.partitionBy(*by).orderBy("_from")
+    return markers.select(*by, order_key().alias("_from")).select(
+        *by,
+        F.row_number().over(in_order).cast("bigint").alias(name),
+        "_from",
+        F.lead("_from").over(in_order).alias("_to"),
+    )
+
 
+def _closed_pieces(numbered: DataFrame, by: list[str], name: str, length: int) -> DataFrame:
+    """The intervals that have an end, one row per piece of time they touch."""
+    first, last = (time_bucket(F.col(f"{end}.ts"), length) for end in ("_from", "_to"))
+    return numbered.where(F.col("_to").isNotNull()).select(
+        *[F.col(c).alias(f"_{c}") for c in by],
+        F.col(name).alias("_number"),
+        F.col("_from").alias("_begins"),
+        F.col("_to").alias("_ends"),
+        F.explode(F.sequence(first, last)).alias("_piece"),
+    )
 
-def with_season(
+
+def _marked(
     parsed: DataFrame,
-    range_join_markers: int = RANGE_JOIN_MARKERS,
-    bucket_seconds: int = BUCKET_SECONDS,
+    numbered: DataFrame,
+    by: list[str],
+    name: str,
+    newest: DataFrame | None,
+    length: int,
 ) -> DataFrame:
-    """Add ``season_id``: the number of season starts up to the row (0 before the first).
+    """Add ``name``: the number of markers of ``by`` up to the row, 0 before the first.
 
-    A few season starts are broadcast as intervals, which leaves the feed unshuffled;
-    with more of them a bucketed running count over the feed does the same.
+    Rows meet the closed intervals by key and piece of time, an equi-join whose rows need no order;
+    what lies behind the newest marker is compared with that marker alone. ``newest`` has
+    one row per key, or is None for no key, where a scalar subquery holds the one row.
     """
-    starts = _opens_season(parsed).select(*ORDER)
-    if fits(starts, range_join_markers):
-        by_time = Window.orderBy(order_key())
-        intervals = starts.select(
-            F.row_number().over(by_time).cast("bigint").alias("season_id"),
-            order_key().alias("_from"),
-            F.lead(order_key()).over(by_time).alias("_to"),
-        )
-        here = order_key()
-        inside = (here >= F.col("_from")) & (F.col("_to").isNull() | (here < F.col("_to")))
-        return parsed.join(F.broadcast(intervals), inside, "left").select(
-            *parsed.columns, F.coalesce("season_id", F.lit(0).cast("bigint")).alias("season_id")
-        )
-    named = F.size(F.filter("times", lambda t: F.trim(F.coalesce(t, F.lit(""))) != "")) > 0
-    opens = F.when((F.col("tipo") == SEASON_START) & named, 1).otherwise(0)
-    return running(parsed, [], ORDER, {"season_id": opens}, bucket_seconds=bucket_seconds)
-
-
-def with_match(parsed: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    here = order_key()
+    rows = parsed.withColumn("_at", time_bucket("ts", length))
+    pieces = _closed_pieces(numbered, by, name, length)
+    met = (F.col("_at") == F.col("_piece")) & (here >= F.col("_begins")) & (here < F.col("_ends"))
+    for c in by:
+        met = met & (F.col(c) == F.col(f"_{c}"))
+    rows = rows.join(pieces, met, "left")
+    if newest is None:
+        one = numbered.where(F.col("_to").isNull()).agg(F.max(F.struct("_from", name)).alias("_newest"))
+        last = one.scalar()
+    else:
+        rows, last = rows.join(newest, by, "left"), F.col("_newest")
+    number = F.when(here >= last["_from"], last[name]).otherwise(F.col("_number"))
+    return rows.select(*parsed.columns, F.coalesce(number, F.lit(0).cast("bigint")).alias(name))
+
+
+def with_season(parsed: DataFrame, piece_seconds: int = PIECE_SECONDS) -> DataFrame:
+    """Add ``season_id``: the number of season starts up to the row (0 before the first)."""
+    numbered = _numbered(_opens_season(parsed), [], "season_id")
+    return _marked(parsed, numbered, [], "season_id", None, piece_seconds)
+
+
+def with_match(parsed: DataFrame, piece_seconds: int = PIECE_SECONDS) -> DataFrame:
     """Add ``match_seq``: start messages seen so far under the same game key.
 
     Together with the season and the game key it identifies a match.
     """
-    starts = F.when(F.col("tipo") == START, 1).otherwise(0)
-    return running(
-        parsed, ["game_key"], ORDER, {"match_seq": starts}, bucket_seconds=bucket_seconds
+    by = ["game_key"]
+    numbered = _numbered(parsed.where(F.col("tipo") == START), by, "match_seq")
+    newest = numbered.where(F.col("_to").isNull()).select(
+        *by, F.struct("_from", "match_seq").alias("_newest")
     )
+    return _marked(parsed, numbered, by, "match_seq", newest, piece_seconds)
 
 
 def segment(parsed: DataFrame) -> DataFrame:

@@ -148,7 +148,7 @@ def player_season_averages(points: DataFrame, fouls: DataFrame, games: DataFrame
 
 
 def box_score(plays: DataFrame) -> DataFrame:
-    """Points and fouls committed per match, team and player, in one pass."""
+    """Points, scoring plays and fouls committed per match, team and player, in one pass."""
     key = match_key(plays)
     point, foul = F.col("action") == "POINT", F.col("action") == "FOUL"
     return (
@@ -158,6 +158,7 @@ def box_score(plays: DataFrame) -> DataFrame:
             F.coalesce(F.sum(F.when(point, F.col("points"))), F.lit(0))
             .cast("bigint")
             .alias("points"),
+            F.count_if(point).alias("scoring_plays"),
             F.count_if(foul).alias("fouls"),
         )
     )

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from courtside.functions.text import NO_VALUE, alert_message, is_blank, parse_alert, simultaneous_message
-from courtside.operators.latest import context_rows
+from courtside.functions.scoreboard import scoreboard
+from courtside.operators.latest import context_rows, match_lines
 from courtside.operators.ordered import BUCKET_SECONDS, running, seconds
-from courtside.schema import ORDER
+from courtside.schema import FINAL, MATCH, ORDER, START
 
 HOT_STREAK_WINDOW = "5 seconds"
 SIMULTANEOUS_WINDOW = "2 seconds"
@@ -126,12 +127,12 @@ def simultaneous_streaks(
 
 
 def enrich_alerts(
-    alerts: DataFrame, rosters: DataFrame, plays: DataFrame, live: DataFrame
+    alerts: DataFrame, rosters: DataFrame, plays: DataFrame, messages: DataFrame
 ) -> DataFrame:
     """Alerts with the player's team and quarter as they stood at the alert.
 
-    Without a positive quarter, that of the first live match of the team is used. A
-    live match is spread to its two teams, which keeps this an equi-join.
+    Without a positive quarter, that of the first match of the team which is live at the
+    alert is used; ``messages`` is the feed with seasons and matches.
     """
     named = parse_alert("player", "message")
     facts = context_rows(rosters, plays).select(
@@ -160,30 +161,79 @@ def enrich_alerts(
         [*ORDER, "prio"],
         lasts={"team_then": F.col("team"), "quarter_then": F.col("quarter")},
     ).where(F.col("alert").isNotNull())
+    known = F.when(F.col("quarter_then") > 0, F.col("quarter_then"))
+    then = as_of.select(
+        "season_id",
+        *ORDER,
+        "alert",
+        "player",
+        F.coalesce("team_then", F.lit(NO_VALUE)).alias("team"),
+        known.alias("known_quarter"),
+    )
+    unknown = then.where(F.col("known_quarter").isNull() & ~is_blank("team"))
+    live = live_quarters(unknown.select("season_id", *ORDER, "team").distinct(), messages)
+    return then.join(live, ["season_id", *ORDER, "team"], "left").select(
+        "season_id",
+        *ORDER,
+        F.col("alert.key").alias("key"),
+        "player",
+        "team",
+        F.coalesce("known_quarter", "live_quarter", F.lit(0)).alias("quarter"),
+        F.col("alert.points").alias("points"),
+        F.col("alert.message").alias("message"),
+    )
+
+
+def live_quarters(moments: DataFrame, messages: DataFrame) -> DataFrame:
+    """``live_quarter`` of the first match of a team that is live at a moment.
 
-    teams = F.explode(F.array_distinct(F.array("home", "away"))).alias("live_team")
-    fallback = (
-        live.select("season_id", teams, "quarter", "start_order")
-        .groupBy("season_id", "live_team")
-        .agg(F.min_by("quarter", "start_order").alias("live_quarter"))
-        .withColumnRenamed("live_team", "team")
+    A match is live from its first message until its final or the next start under its
+    game key; its teams are those of the line it showed last, none if that is unreadable.
+    A moment meets only the matches that were open around it, through the teams named
+    when a match began or ended, and only those matches' messages are carried forward.
+    """
+    lines = match_lines(messages).withColumn("is_final", F.col("tipo") == FINAL)
+    spans = lines.groupBy(*MATCH).agg(
+        F.min("ts").alias("from_ts"),
+        F.min(F.when(F.col("is_final"), F.col("ts"))).alias("to_ts"),
     )
-    team = F.coalesce("team_then", F.lit(NO_VALUE)).alias("team")
-    known = F.when(F.col("quarter_then") > 0, F.col("quarter_then"))
+    edge = (F.col("ts") == F.col("from_ts")) | (F.col("tipo") == START) | F.col("is_final")
+    titles = lines.join(spans, MATCH).where(edge)
+    shown = titles.withColumn("s", scoreboard("line", "dashboard", F.lit(True)))
+    teams = F.explode(F.array("s.home", "s.away")).alias("team")
+    sides = shown.select(*MATCH, "from_ts", "to_ts", teams).where(~is_blank("team")).distinct()
+    during = (F.col("from_ts") <= F.col("ts")) & (F.col("to_ts").isNull() | (F.col("ts") <= F.col("to_ts")))
+    asked = (
+        moments.join(sides, ["season_id", "team"]).where(during).select(*MATCH, *ORDER, "team")
+    )
+    nothing = {c: F.lit(None).cast(t) for c, t in lines.select("line", "titled", "quarter", "is_final").dtypes}
+    told = lines.join(asked.select(*MATCH).distinct(), MATCH, "left_semi").select(
+        *MATCH, *ORDER, F.lit(0).alias("prio"), F.lit(None).cast("string").alias("team"), *nothing
+    )
+    rows = told.unionByName(asked.withColumns({"prio": F.lit(1), **nothing}))
+    is_message = F.col("prio") == 0
+    carried = running(
+        rows,
+        MATCH,
+        [*ORDER, "prio"],
+        sums={"finals": F.when(F.col("is_final"), 1).otherwise(0)},
+        lasts={
+            "line_then": F.when(is_message & ~F.col("is_final"), F.struct("line", "titled")),
+            "quarter_then": F.when(is_message & ~F.col("is_final"), F.col("quarter")),
+            "begun": F.when(is_message, F.struct(*ORDER)),
+        },
+    ).where(~is_message & (F.col("finals") == 0) & F.col("line_then").isNotNull())
+    # Of the matches of one game key the newest that has begun is the one on.
+    on = Window.partitionBy("season_id", "game_key", *ORDER, "team").orderBy(F.desc("match_seq"))
+    newest = carried.withColumn("n", F.row_number().over(on)).where("n = 1")
+    read = newest.withColumn("s", scoreboard(F.col("line_then.line"), "dashboard", F.col("line_then.titled")))
+    playing = read.where((F.col("team") == F.col("s.home")) | (F.col("team") == F.col("s.away")))
+    starts = spans.select(*MATCH, "from_ts")
     return (
-        as_of.select(
-            "season_id", *ORDER, "alert", "player", team, known.alias("known_quarter")
-        )
-        .join(fallback, ["season_id", "team"], "left")
-        .select(
-            "season_id",
-            *ORDER,
-            F.col("alert.key").alias("key"),
-            "player",
-            "team",
-            F.coalesce("known_quarter", "live_quarter", F.lit(0)).alias("quarter"),
-            F.col("alert.points").alias("points"),
-            F.col("alert.message").alias("message"),
+        playing.join(starts, MATCH)
+        .groupBy("season_id", *ORDER, "team")
+        .agg(
+            F.min_by(F.coalesce("quarter_then", F.lit(0)), F.struct("from_ts", "game_key")).alias("live_quarter")
         )
     )
 

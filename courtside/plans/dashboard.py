@@ -71,7 +71,7 @@ def tables(
         leaders=rank.player_leaders(
             rank.player_totals(points, stats.games_played(started, ended), context)
         ),
-        hot=streaks.hot_streak_board(streaks.enrich_alerts(alerts, started, played, live)),
+        hot=streaks.hot_streak_board(streaks.enrich_alerts(alerts, started, played, segmented)),
         live=live.drop("start_order"),
         points=points,
         standings=standing,
@@ -81,7 +81,10 @@ def tables(
 
 
 def _sharded(df: DataFrame, id_col: str, entries: int) -> DataFrame:
-    """Add ``part``: rows of a season spread over parts of about ``entries`` rows."""
+    """Add ``part``: rows of a season spread over parts of about ``entries`` rows.
+
+    ``df`` has a row per season and player; Spark splits a season that is large.
+    """
     parts = df.groupBy("season_id").agg(
         F.greatest(F.lit(1), F.ceil(F.count("*") / F.lit(entries))).cast("bigint").alias("_parts")
     )
@@ -115,12 +118,11 @@ def _list(df: DataFrame, name: str, first: str, *more: str) -> DataFrame:
     return df.groupBy("season_id").agg(rows.alias(name))
 
 
-def dashboard(t: Tables, entries: int = DOCUMENT_ENTRIES) -> DataFrame:
-    """One document per season.
+def dashboard(t: Tables) -> DataFrame:
+    """One document per season: info, ranking, leaders, streaks, newest odds and alerts.
 
-    Ranking, leaders, streaks and alerts are short by definition. Player totals and live
-    matches can grow, so beyond ``entries`` a season continues in further rows (``part``
-    1, 2, ...), which carry only those two.
+    All of these are short by definition, so a document is bounded. What grows with the
+    season (player totals, live matches) stays in its own tables, ``points`` and ``live``.
     """
     confronto = [
         c
@@ -128,8 +130,8 @@ def dashboard(t: Tables, entries: int = DOCUMENT_ENTRIES) -> DataFrame:
         if c in t.ranking.columns
     ]
     leaders = ["rank", "player", "team", "total", "games", "average"]
-    base = t.info.select(
-        "season_id", F.lit(0).alias("part"), F.struct("label", "current_round", "season_ended").alias("season")
+    document = t.info.select(
+        "season_id", F.struct("label", "current_round", "season_ended").alias("season")
     )
     for part in (
         _list(t.ranking, "ranking", "rank", "team", "team_name", "points", "wins", "losses", *confronto),
@@ -141,25 +143,15 @@ def dashboard(t: Tables, entries: int = DOCUMENT_ENTRIES) -> DataFrame:
         ),
         _list(t.log, "_alerts", "position", "message"),
     ):
-        base = base.join(part, "season_id", "left")
-    live_row = F.struct("game_key", "home", "away", "home_score", "away_score", "quarter")
-    live = (
-        _sharded(t.live, "game_key", entries)
-        .groupBy("season_id", "part")
-        .agg(F.sort_array(F.collect_list(live_row)).alias("live_matches"))
-    )
-    key = ["season_id", "part"]
-    document = base.join(live, key, "full").join(snapshot_maps(t.points, entries), key, "full")
+        document = document.join(part, "season_id", "left")
     empty_leaders = F.filter("leaders_points", lambda _: F.lit(False))
     return document.select(
-        *key,
+        "season_id",
         "season",
         F.coalesce("ranking", F.array()).alias("ranking"),
         F.coalesce("leaders_points", F.array()).alias("leaders_points"),
         F.coalesce(empty_leaders, F.array()).alias("leaders_assists"),
         F.coalesce("hot_streaks", F.array()).alias("hot_streaks"),
-        F.coalesce("live_matches", F.array()).alias("live_matches"),
-        F.coalesce("player_points", F.create_map()).alias("player_points"),
         F.coalesce("team_standings", F.create_map()).alias("team_standings"),
         "latest_odds",
         F.coalesce(F.transform("_alerts", lambda a: a["message"]), F.array()).alias("alerts"),

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from courtside.functions.text import NO_VALUE, rounded_average
-from courtside.operators.joins import join_small
 from courtside.operators.segments import current_season
 from courtside.operators.stats import team_stats
 
@@ -17,7 +16,7 @@ LEADERS = 3
 
 def of_season_teams(stats: DataFrame, season_teams: DataFrame) -> DataFrame:
     """Statistics of the teams that play in a season; ``stats`` has one row per team."""
-    return join_small(stats, season_teams.select("team").distinct(), ["team"], "left_semi")
+    return stats.join(season_teams.select("team").distinct(), "team", "left_semi")
 
 
 def season_standings(stats: DataFrame, season_teams: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ minutes apart.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -203,8 +204,8 @@ def match_segments(spark, sf):
 
 @query
 def season_segments_by_buckets(spark, sf):
-    """Seasons by the running count used when starts are too many to broadcast."""
-    parsed = segments.with_season(_messages(spark, sf), range_join_markers=0)
+    """Messages of each kind and season, by the bucketed interval join."""
+    parsed = segments.with_season(_messages(spark, sf))
     return parsed.groupBy("season_id", "tipo").agg(F.count("*").alias("messages"))
 
 
@@ -462,7 +463,7 @@ def simultaneous_streak_updates(spark, sf):
 def _enriched(feed: DataFrame) -> DataFrame:
     played = parse.plays(feed)
     sent = streaks.alerts(_updates(parse.scoring_plays(played)))
-    return streaks.enrich_alerts(sent, parse.rosters(feed), played, latest.live_matches(feed))
+    return streaks.enrich_alerts(sent, parse.rosters(feed), played, feed)
 
 
 @query
@@ -488,18 +489,24 @@ def alert_log(spark, sf):
 
 @query
 def streak_overlaps(spark, sf):
-    found = streaks.hot_streaks(_scoring(spark, sf), LONG_WINDOW)
-    return _plain_time(streaks.streak_overlaps(found, more_than=40))
+    found = streaks.hot_streaks(_scoring(spark, sf), STREAK_WINDOW)
+    return _plain_time(streaks.streak_overlaps(found))
 
 
 @query
 def streak_relations(spark, sf):
-    """How each long streak of a player lies to the window it falls in."""
-    found = streaks.hot_streaks(_scoring(spark, sf), STREAK_WINDOW)
+    """How each streak of a player lies to the player's streak of the whole day."""
+    key = ["player", F.to_date("window_start").alias("day")]
+    short = streaks.hot_streaks(_scoring(spark, sf), STREAK_WINDOW)
+    whole = streaks.hot_streaks(_scoring(spark, sf), LONG_WINDOW)
+    pairs = short.select(*key, "first_ts", "alert_ts").join(
+        whole.select(*key, F.col("first_ts").alias("day_first"), F.col("alert_ts").alias("day_last")),
+        ["player", "day"],
+    )
     relation: Column = allen_relation(
-        F.col("first_ts"), F.col("alert_ts"), F.col("window_start"), F.col("window_end")
+        F.col("first_ts"), F.col("alert_ts"), F.col("day_first"), F.col("day_last")
     )
-    return found.groupBy(relation.alias("relation")).agg(F.count("*").alias("streaks"))
+    return pairs.groupBy(relation.alias("relation")).agg(F.count("*").alias("streaks"))
 
 
 # Standings, ranking, leaders
@@ -527,8 +534,8 @@ def all_time_standings(spark, sf):
 
 @query
 def season_team_stats(spark, sf):
-    """All-time results of orders, kept for the teams of the events feed's seasons."""
-    teams = _seeds(_stored(spark, sf))
+    """All-time results of orders, kept for the first half of each season's list of teams."""
+    teams = _seeds(_stored(spark, sf)).where("season_id = 1 AND seed < 12")
     return rank.of_season_teams(stats.team_stats(_outcomes(spark, sf)), teams)
 
 
@@ -539,7 +546,8 @@ def ranking(spark, sf):
     newest = latest.last_plays(parse.plays(feed), MATCH)
     matchups = latest.team_matchups(feed, stats.odds(newest))
     found = rank.ranking(standing, team_catalog(spark, EXTRA_NAMES), matchups)
-    return _rounded(found, "team_odds", "opponent_odds")
+    labelled = found.withColumn("odds_label", text.odds_label("team_odds"))
+    return _rounded(labelled, "team_odds", "opponent_odds")
 
 
 def _totals(feed: DataFrame) -> DataFrame:
@@ -567,11 +575,6 @@ def player_leaders_as_coded(spark, sf):
     return rank.player_leaders(_totals(_stored(spark, sf)), as_coded=True)
 
 
-@query
-def player_leaders_assists(spark, sf):
-    return rank.player_leaders(_totals(_stored(spark, sf)), category="Assists")
-
-
 def _dashboard_tables(spark: SparkSession, sf: str) -> dash.Tables:
     return dash.tables(
         spark,
@@ -605,12 +608,16 @@ def dashboard(spark, sf):
 
 @query
 def dashboard_summary(spark, sf):
-    """One flat row per season from the nested document."""
-    document = dash.dashboard(_dashboard_tables(spark, sf))
-    total = F.aggregate(F.map_values("player_points"), F.lit(0).cast("bigint"), lambda a, v: a + v)
-    return document.where(F.col("season").isNotNull()).select(
+    """One flat row per season: the document, and the tables that grow with the season."""
+    t = _dashboard_tables(spark, sf)
+    totals = t.points.groupBy("season_id").agg(
+        F.count("*").alias("n_players"), F.sum("total").alias("n_points")
+    )
+    live = t.live.groupBy("season_id").agg(F.count("*").alias("n_live"))
+    zero = F.lit(0).cast("bigint")
+    document = dash.dashboard(t).join(totals, "season_id", "left").join(live, "season_id", "left")
+    return document.select(
         "season_id",
-        "part",
         "season.current_round",
         "season.season_ended",
         F.size("ranking").cast("bigint").alias("teams"),
@@ -618,9 +625,9 @@ def dashboard_summary(spark, sf):
         F.get("leaders_points", F.lit(0))["player"].alias("first_player"),
         F.size("leaders_assists").cast("bigint").alias("assist_leaders"),
         F.get("hot_streaks", F.lit(0))["player"].alias("hottest_player"),
-        F.size("live_matches").cast("bigint").alias("live"),
-        F.size("player_points").cast("bigint").alias("players"),
-        total.alias("points"),
+        F.coalesce("n_live", zero).alias("live"),
+        F.coalesce("n_players", zero).alias("players"),
+        F.coalesce("n_points", zero).alias("points"),
         F.size("team_standings").cast("bigint").alias("standings"),
         F.col("latest_odds.teamA").alias("odds_team"),
         F.size("alerts").cast("bigint").alias("n_alerts"),
@@ -675,9 +682,39 @@ def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
 
 
-def _scoring_stream(spark: SparkSession, sf: str) -> DataFrame:
-    feed = tables.plays_feed(_stream(spark, sf, "events"))
-    return parse.scoring_plays(parse.plays(parse.parse_feed(feed)))
+def _scoring_of(events: DataFrame) -> DataFrame:
+    return parse.scoring_plays(parse.plays(parse.parse_feed(tables.plays_feed(events))))
+
+
+def _in_parts(spark: SparkSession, sf: str, advance: Callable[[DataFrame], None]) -> None:
+    """Feed the events to a stream part by part: three by time, a late one, a closing one.
+
+    The late play belongs to a window that is over and must change nothing. The closing one
+    comes long after all others, so every window before it ends.
+    """
+    events = tables.table(spark, sf, "events")
+    first, last, top = events.agg(F.min("ts"), F.max("ts"), F.max("event_id")).first()
+    third = (last - first) / 3
+    # An event of this number is a three-point play, and none of the derived exceptions.
+    free = next(n for n in range(top + 7 - top % 7, top + 700, 7) if n % 31 and n % 37 and n % 41)
+    extra = events.limit(1).withColumns(
+        {"event_id": F.lit(free), "user_id": F.lit(0).cast("bigint"), "event_type": F.lit("purchase")}
+    )
+
+    def at(ts) -> DataFrame:
+        return extra.withColumn("ts", F.lit(ts).cast("timestamp_ntz")).select(events.columns)
+
+    ts, path = F.col("ts"), new_path(spark, "events")
+    parts = [
+        events.where(ts < first + third),
+        events.where((ts >= first + third) & (ts < first + 2 * third)),
+        events.where(ts >= first + 2 * third),
+        at(first),
+        at(last + timedelta(days=30)),
+    ]
+    for part in parts:
+        part.write.mode("append").parquet(path)
+        advance(spark.readStream.schema(events.schema).parquet(path))
 
 
 def _folder(spark: SparkSession) -> tuple[str, str]:
@@ -685,13 +722,6 @@ def _folder(spark: SparkSession) -> tuple[str, str]:
     return f"{base}/table", f"{base}/checkpoint"
 
 
-def _run(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Run an append-only stream over everything there is and read its table."""
-    path, checkpoint = _folder(spark)
-    sinks.write_stream(df, path, checkpoint, available_now=True).awaitTermination()
-    return spark.read.schema(df.schema).parquet(path)
-
-
 @query
 def stream_player_points(spark, sf):
     path, checkpoint = _folder(spark)
@@ -718,32 +748,37 @@ def stream_odds(spark, sf):
 
 @query
 def stream_hot_streaks(spark, sf):
-    """Closed windows only: the stream waits for the rest."""
-    found = jobs.hot_streak_windows(_scoring_stream(spark, sf), STREAK_WINDOW)
-    return _plain_time(_run(spark, found))
+    """Every window's streaks, each when its window closes."""
+    path, checkpoint = _folder(spark)
+
+    def advance(events: DataFrame) -> None:
+        found = jobs.hot_streak_windows(_scoring_of(events), STREAK_WINDOW)
+        sinks.write_stream(found, path, checkpoint, available_now=True).awaitTermination()
+
+    _in_parts(spark, sf, advance)
+    return _plain_time(spark.read.parquet(path))
 
 
 @query
 def stream_hot_streak_updates(spark, sf):
-    sinks.configure_state(spark)
-    found = stateful.hot_streak_updates(_scoring_stream(spark, sf), STREAK_WINDOW)
-    return _plain_time(_run(spark, found))
+    path, checkpoint = _folder(spark)
+    found = stateful.hot_streak_updates(_scoring_of(_stream(spark, sf, "events")), STREAK_WINDOW)
+    sinks.write_stream(found, path, checkpoint, available_now=True).awaitTermination()
+    return _plain_time(spark.read.schema(found.schema).parquet(path))
 
 
 @query
 def stream_simultaneous_streaks(spark, sf):
-    """Two queries with a table of alerts between them."""
-    found = jobs.hot_streak_windows(_scoring_stream(spark, sf), STREAK_WINDOW)
+    """Every alert record is stored by one query and counted by the next."""
+    alerts, alerts_checkpoint = _folder(spark)
     path, checkpoint = _folder(spark)
-    sinks.write_stream(found, path, checkpoint, available_now=True).awaitTermination()
-    stored = sinks.read_table_stream(spark, path, found.schema)
-    return _plain_time(_run(spark, jobs.simultaneous_windows(stored, TOGETHER_WINDOW)))
 
+    def advance(events: DataFrame) -> None:
+        sent = stateful.hot_streak_updates(_scoring_of(events), STREAK_WINDOW)
+        sinks.write_stream(sent, alerts, alerts_checkpoint, available_now=True).awaitTermination()
+        stored = sinks.read_table_stream(spark, alerts, sent.schema)
+        found = jobs.simultaneous_windows(stored, TOGETHER_WINDOW)
+        sinks.write_stream(found, path, checkpoint, available_now=True).awaitTermination()
 
-@query
-def stream_match_state(spark, sf):
-    sinks.configure_state(spark)
-    stored = _messages(spark, sf)
-    path = stored.inputFiles()[0].rsplit("/tipo=", 1)[0]
-    messages = spark.readStream.schema(stored.schema).parquet(path)
-    return _run(spark, stateful.match_state_stream(messages))
+    _in_parts(spark, sf, advance)
+    return _plain_time(spark.read.parquet(path))

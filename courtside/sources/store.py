@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -11,17 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
-_local_folder: list[str] = []
 _stored: dict[tuple, tuple[str, list[tuple[str, str]]]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a local one only where it is unset."""
+    """The folder named by ``spark.checkpoint.dir``, which driver and executors share.
+
+    Without it only a local master can go on, in its warehouse folder.
+    """
     folder = spark.conf.get(_SETTING, None)
     if not folder:
-        if not _local_folder:
-            _local_folder.append(tempfile.mkdtemp(prefix="courtside-"))
-        folder = _local_folder[0]
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {_SETTING} to a folder that all executors share")
+        folder = spark.conf.get("spark.sql.warehouse.dir")
     return folder.rstrip("/")
 
 
@@ -43,12 +44,26 @@ def stage(
 
 
 def file_version(spark: SparkSession, path: str) -> tuple:
-    """Name, length and time of the files of a table; changes when the table does."""
+    """Number, total length and newest time of the files of a table, at any depth.
+
+    Changes when the table does; the driver keeps three numbers, whatever the table's size.
+    """
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
-    return tuple(
-        sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files)
-    )
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(root, True)
+    count = length = newest = 0
+    while files.hasNext():
+        file = files.next()
+        count, length = count + 1, length + file.getLen()
+        newest = max(newest, file.getModificationTime())
+    return path, count, length, newest
+
+
+def drop_stored(spark: SparkSession) -> None:
+    """Delete the tables that :func:`stored_once` has written in this session."""
+    own = [key for key in _stored if key[0] == spark.sparkContext.applicationId]
+    for key in own:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_stored.pop(key)[0])
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored_once(

@@ -65,6 +65,7 @@ def write_stream(
     trigger: str | None = None,
 ) -> StreamingQuery:
     """Start a query into a topic or an append-only parquet table."""
+    configure_state(df.sparkSession)
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
@@ -94,6 +95,8 @@ def write_changelog(
     after a failure leaves the same table.
     """
 
+    configure_state(df.sparkSession)
+
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 

@@ -8,13 +8,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
-from courtside.functions.scoreboard import scoreboard
 from courtside.functions.text import alert_message
 from courtside.operators.ordered import seconds
 from courtside.operators.streaks import HOT_STREAK_WINDOW
-from courtside.schema import FINAL, ORDER, PLAY, START
+from courtside.schema import ORDER
 
 
 def _in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
@@ -97,92 +96,3 @@ def hot_streak_updates(
         "offset",
         alert_message("player", "points").alias("message"),
     )
-
-
-_MATCH_FIELDS = ["match_seq", "home_score", "away_score", "quarter", "turnovers", "ended"]
-_BOARD = {
-    "game_key": "STRING",
-    "offset": "BIGINT",
-    "match_seq": "BIGINT",
-    "home_score": "BIGINT",
-    "away_score": "BIGINT",
-    "quarter": "BIGINT",
-    "turnovers": "BIGINT",
-    "ended": "BOOLEAN",
-    "player_total": "BIGINT",
-}
-
-
-class _MatchState(StatefulProcessor):
-    """Score, quarter, turnovers and player points of the match under one game key."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.match = handle.getValueState(
-            "match",
-            StructType([StructField(f, LongType()) for f in _MATCH_FIELDS]),
-        )
-        self.points = handle.getMapState(
-            "points",
-            StructType([StructField("team", StringType()), StructField("player", StringType())]),
-            StructType([StructField("points", LongType())]),
-        )
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        seq, home, away, quarter, turnovers, ended = (
-            self.match.get() if self.match.exists() else (0, 0, 0, -1, 0, 0)
-        )
-        out = []
-        for r in _in_order(rows).itertuples(index=False):
-            scored = None
-            if r.tipo == START:
-                seq, home, away, quarter, turnovers, ended = seq + 1, 0, 0, -1, 0, 0
-                self.points.clear()
-            else:
-                if not pd.isna(r.home_score):
-                    home, away = int(r.home_score), int(r.away_score)
-                ended = int(ended or r.tipo == FINAL)
-                if r.tipo == PLAY and r.quarter > 0:
-                    quarter = int(r.quarter)
-                turnovers += r.action == "TURNOVER"
-                if r.action == "POINT" and r.player:
-                    scorer = (r.team, r.player)
-                    had = self.points.getValue(scorer)[0] if self.points.containsKey(scorer) else 0
-                    scored = had + int(r.points)
-                    self.points.updateValue(scorer, (scored,))
-            out.append((key[0], r.offset, seq, home, away, quarter, turnovers, bool(ended), scored))
-        self.match.update((seq, home, away, quarter, turnovers, ended))
-        yield pd.DataFrame(out, columns=list(_BOARD))
-
-    def close(self) -> None:
-        pass
-
-
-def match_state_stream(parsed: DataFrame) -> DataFrame:
-    """The board of a match after every message about it, as a stream.
-
-    Only where each message must give a row at once; batch results come from grouped
-    aggregates. The score line is read before, in the JVM.
-    """
-    line = F.when(F.col("tipo") == FINAL, F.col("match_line")).otherwise(F.col("scoreboard"))
-    rows = parsed.where(F.col("tipo").isin(START, PLAY, FINAL)).select(
-        "game_key",
-        *ORDER,
-        "tipo",
-        "team",
-        "action",
-        "player",
-        F.coalesce("points", F.lit(0)).alias("points"),
-        F.coalesce("quarter", F.lit(-1)).alias("quarter"),
-        scoreboard(line, "wide").alias("s"),
-    )
-    flat = rows.select(
-        *[c for c in rows.columns if c != "s"],
-        F.col("s.home_score").cast("double").alias("home_score"),
-        F.col("s.away_score").cast("double").alias("away_score"),
-    )
-    return flat.groupBy("game_key").transformWithStateInPandas(
-        _MatchState(),
-        outputStructType=", ".join(f"`{name}` {kind}" for name, kind in _BOARD.items()),
-        outputMode="Append",
-        timeMode="None",
-    )

@@ -159,7 +159,8 @@ WITH RECURSIVE ev AS (
   FROM season_points p LEFT JOIN games g USING (season_id, player) LEFT JOIN context c USING (season_id, player)
 ), box AS (
   SELECT season_id, game_key, match_seq, team, player,
-         CAST(coalesce(sum(points), 0) AS BIGINT) AS points, count(*) FILTER (WHERE action = 'FOUL') AS fouls
+         CAST(coalesce(sum(points), 0) AS BIGINT) AS points,
+         count(*) FILTER (WHERE action = 'POINT') AS scoring_plays, count(*) FILTER (WHERE action = 'FOUL') AS fouls
   FROM plays WHERE action IN ('POINT', 'FOUL') AND player <> '' GROUP BY ALL
 ), subs AS (
   SELECT season_id, game_key, match_seq, team, user_id // 24 AS a, 5 + event_id % 5 AS b,
@@ -195,17 +196,31 @@ WITH RECURSIVE ev AS (
          'O ' || player || ' está pegando fogo! Fez ' || total || ' pontos em sequência!' AS message FROM upd
   UNION ALL
   SELECT season_id, {ORDER}, 1, streaks || ' jogadores em hot streak simultânea' FROM together WHERE streaks >= 2
+), unquartered AS (
+  SELECT season_id, ts, "partition", "offset", team, g, {O} AS asked FROM upd WHERE player <> '' AND quarter <= 0
+), said AS (
+  SELECT season_id, g, match_seq, {O} AS moment, bad_line AS bad, q, home, away, false AS over FROM plays
+  UNION ALL SELECT season_id, g, match_seq, {O}, false, NULL, home, away, false FROM starts
+  UNION ALL SELECT season_id, g, match_seq, {O}, NULL, NULL, home, away, true FROM finals
+), then_match AS (
+  SELECT u.season_id, u."partition", u."offset", u.team, s.match_seq, any_value(s.home) AS home, any_value(s.away) AS away,
+         bool_or(s.over) AS over, arg_max(s.bad, CASE WHEN s.bad IS NOT NULL THEN s.moment END) AS bad,
+         arg_max(s.q, CASE WHEN s.q IS NOT NULL THEN s.moment END) AS q
+  FROM unquartered u JOIN said s ON s.season_id = u.season_id AND s.moment <= u.asked
+   AND CAST(substr(u.team, 2) AS BIGINT) // 2 = s.g
+  GROUP BY ALL
+), then_live AS (
+  SELECT season_id, "partition", "offset", coalesce(q, 0) AS quarter
+  FROM (SELECT * FROM then_match
+        QUALIFY match_seq = max(match_seq) OVER (PARTITION BY season_id, "partition", "offset"))
+  WHERE NOT over AND NOT bad AND team IN (home, away)
 ), enriched AS (
   SELECT u.season_id, u.ts, u."partition", u."offset", u.player,
          CASE WHEN u.player = '' THEN '—' ELSE u.team END AS team,
          CASE WHEN u.player = '' THEN 0 WHEN u.quarter > 0 THEN u.quarter
               ELSE coalesce(l.quarter, 0) END AS quarter,
          CAST(CASE WHEN u.player = '' THEN 0 ELSE total END AS INTEGER) AS points
-  FROM upd u LEFT JOIN (
-    SELECT season_id, team, arg_min(quarter, start_order) AS quarter
-    FROM (SELECT season_id, home AS team, quarter, start_order FROM live
-          UNION ALL SELECT season_id, away, quarter, start_order FROM live) GROUP BY ALL) l
-  ON l.season_id = u.season_id AND l.team = u.team
+  FROM upd u LEFT JOIN then_live l USING (season_id, "partition", "offset")
 ), board AS (
   SELECT season_id, CAST(row_number() OVER (PARTITION BY season_id ORDER BY points DESC, player) AS INTEGER) AS rank,
          player, team, quarter, points
@@ -213,7 +228,7 @@ WITH RECURSIVE ev AS (
                arg_max(points, {O}) AS points FROM enriched GROUP BY ALL)
 ), spans AS (
   SELECT min(ts) AS s, max(ts) AS e FROM scoring WHERE player <> ''
-  GROUP BY player, epoch_us(ts) // 86400000000 HAVING sum(points) > 2
+  GROUP BY player, epoch_us(ts) // 21600000000 HAVING sum(points) > 2
 ), moments AS (
   SELECT ts, sum(o) AS o, sum(c) AS c
   FROM (SELECT s AS ts, 1 AS o, 0 AS c FROM spans UNION ALL SELECT e, 0, 1 FROM spans) GROUP BY ts
@@ -221,8 +236,8 @@ WITH RECURSIVE ev AS (
   SELECT ts, sum(o) OVER w - sum(c) OVER w + c - o AS before, sum(o) OVER w - sum(c) OVER w + c AS moment
   FROM moments WINDOW w AS (ORDER BY ts ROWS UNBOUNDED PRECEDING)
 ), periods AS (
-  SELECT ts, moment, sum(CASE WHEN before <= 40 THEN 1 ELSE 0 END) OVER (ORDER BY ts) AS period
-  FROM swept WHERE moment > 40
+  SELECT ts, moment, sum(CASE WHEN before <= 2 THEN 1 ELSE 0 END) OVER (ORDER BY ts) AS period
+  FROM swept WHERE moment > 2
 )
 """.replace("{ORDER}", ORDER).replace("{O}", O)
 
@@ -545,10 +560,13 @@ ORACLE: dict[str, str] = {
         "SELECT min(ts) AS start_ts, max(ts) AS end_ts, CAST(max(moment) AS BIGINT) AS max_players FROM periods GROUP BY period"
     ),
     "streak_relations": _events(
-        """SELECT CASE WHEN s = w THEN 'starts' WHEN e = w + INTERVAL 6 HOUR THEN 'finishes' ELSE 'during' END AS relation,
-             count(*) AS streaks
-           FROM (SELECT min(ts) AS s, max(ts) AS e, make_timestamp(epoch_us(min(ts)) // 21600000000 * 21600000000) AS w FROM scoring
-                 GROUP BY player, epoch_us(ts) // 21600000000 HAVING sum(points) > 2) GROUP BY ALL"""
+        """SELECT CASE WHEN s = ds AND e = de THEN 'equals' WHEN s = ds THEN 'starts' WHEN e = de THEN 'finishes'
+                       ELSE 'during' END AS relation, count(*) AS streaks
+           FROM (SELECT player, epoch_us(min(ts)) // 86400000000 AS d, min(ts) AS s, max(ts) AS e FROM scoring
+                 WHERE player IS NOT NULL GROUP BY player, epoch_us(ts) // 21600000000 HAVING sum(points) > 2)
+           JOIN (SELECT player, epoch_us(min(ts)) // 86400000000 AS d, min(ts) AS ds, max(ts) AS de FROM scoring
+                 WHERE player IS NOT NULL GROUP BY player, epoch_us(ts) // 86400000000 HAVING sum(points) > 2)
+           USING (player, d) GROUP BY ALL"""
     ),
     # Standings, ranking, leaders
     "season_standings": _events("SELECT * FROM standing"),
@@ -563,13 +581,15 @@ ORACLE: dict[str, str] = {
            WHERE s.season_id = (SELECT max(season_id) FROM seeds)"""
     ),
     "season_team_stats": _ORDERS
-    + """SELECT * FROM stats WHERE EXISTS (SELECT 1 FROM events WHERE (epoch_us(ts) // 86400000000) % 10 = 0)
-         AND team IN (SELECT 'T' || i FROM (SELECT unnest(range(24)) AS i))""",
+    + """SELECT * FROM stats WHERE team IN (
+           SELECT 'T' || ((i * 7 + day) % 24) FROM (SELECT unnest(range(12)) AS i),
+             (SELECT min(epoch_us(ts) // 86400000000) AS day FROM events WHERE (epoch_us(ts) // 86400000000) % 10 = 0))""",
     "ranking": _events(
         """SELECT s.season_id, s.team, CAST(row_number() OVER (PARTITION BY s.season_id ORDER BY win DESC, seed) AS INTEGER) AS rank,
              CASE WHEN CAST(substr(s.team, 2) AS INTEGER) % 2 = 0 THEN 'Team ' || substr(s.team, 2) ELSE s.team END AS team_name,
              win * 3 AS points, win AS wins, lose AS losses, m.team_score, m.team_odds, m.opponent, m.opponent_score,
-             m.opponent_odds, m.live
+             m.opponent_odds, m.live,
+             CASE WHEN m.team_odds IS NULL THEN '' ELSE printf('%.2f', m.team_odds) END AS odds_label
            FROM standing s LEFT JOIN matchups m USING (season_id, team)"""
     ),
     "player_totals": _events("SELECT * FROM totals"),
@@ -582,15 +602,12 @@ ORACLE: dict[str, str] = {
     "player_leaders_as_coded": _events(
         _leaders("total, average DESC, player").replace("{extra}", "")
     ),
-    "player_leaders_assists": _events(
-        _leaders("total").replace("{extra}", "") + " AND false"
-    ),
     "snapshot_maps": _events("SELECT * FROM season_points"),
     "standings_maps": _events(
         "SELECT season_id, team AS key, team, win, lose, point_made, point_take FROM standing"
     ),
     "dashboard_summary": _events(
-        """SELECT i.season_id, CAST(0 AS INTEGER) AS part, i.current_round, i.season_ended, coalesce(t.n, 0) AS teams,
+        """SELECT i.season_id, i.current_round, i.season_ended, coalesce(t.n, 0) AS teams,
              t.first_team, l.first_player, CAST(0 AS BIGINT) AS assist_leaders, b.player AS hottest_player,
              coalesce(v.n, 0) AS live, coalesce(p.n, 0) AS players, coalesce(p.points, 0) AS points,
              coalesce(t.n, 0) AS standings, o."teamA" AS odds_team, coalesce(a.n, 0) AS n_alerts, a.newest AS newest_alert
@@ -618,37 +635,15 @@ ORACLE: dict[str, str] = {
     "weighted_pick_equal": _pick("1"),
     "weighted_pick_min": _pick('(11 - "Rank")'),
     "weighted_pick_max": _pick('"Rank"'),
-    # Streams, up to what their watermark has closed
-    "stream_hot_streaks": _events(
-        _streaks(21600, 2)
-        + " AND (epoch_us(max(ts)) // 21600000000 + 1) * 21600000000 <= (SELECT max(epoch_us(ts)) FROM scoring)"
-    ),
+    # Streams, run to the end: the same as in batch
+    "stream_hot_streaks": _events(_streaks(21600, 2)),
     "stream_hot_streak_updates": _events(
         """SELECT player, make_timestamp(epoch_us(ts) // 21600000000 * 21600000000) AS window_start, total AS points,
              ts AS alert_ts, "partition", "offset",
              'O ' || player || ' está pegando fogo! Fez ' || total || ' pontos em sequência!' AS message FROM upd"""
     ),
     "stream_simultaneous_streaks": _events(
-        """SELECT make_timestamp(h * 3600000000) AS window_start, make_timestamp((h + 1) * 3600000000) AS window_end, count(*) AS streaks
-           FROM (SELECT epoch_us(a) // 3600000000 AS h, max(epoch_us(a)) OVER () AS newest
-                 FROM (SELECT max(ts) AS a FROM scoring GROUP BY player, epoch_us(ts) // 21600000000
-                       HAVING sum(points) > 2 AND (epoch_us(max(ts)) // 21600000000 + 1) * 21600000000
-                              <= (SELECT max(epoch_us(ts)) FROM scoring)))
-           WHERE (h + 1) * 3600000000 <= newest GROUP BY h HAVING count(*) >= 2"""
-    ),
-    "stream_match_state": _events(
-        """SELECT game_key, "offset", match_seq,
-             CAST(coalesce(last_value(CASE WHEN ok THEN sh END IGNORE NULLS) OVER m, 0) AS BIGINT) AS home_score,
-             CAST(coalesce(last_value(CASE WHEN ok THEN sa END IGNORE NULLS) OVER m, 0) AS BIGINT) AS away_score,
-             CAST(coalesce(last_value(q IGNORE NULLS) OVER m, -1) AS BIGINT) AS quarter,
-             CAST(count(*) FILTER (WHERE action = 'TURNOVER') OVER m AS BIGINT) AS turnovers,
-             bool_or(kind = 2) OVER m AS ended,
-             CASE WHEN action = 'POINT' AND player <> '' THEN CAST(sum(points) OVER p AS BIGINT) END AS player_total
-           FROM (SELECT game_key, match_seq, {ORDER}, 1 AS kind, NOT bad_line AS ok, sh, sa, q, action, team, player, points FROM plays
-                 UNION ALL SELECT game_key, match_seq, {ORDER}, 0, false, 0, 0, NULL, NULL, NULL, NULL, NULL FROM starts
-                 UNION ALL SELECT game_key, match_seq, {ORDER}, 2, true, sh, sa, NULL, NULL, NULL, NULL, NULL FROM finals)
-           WINDOW m AS (PARTITION BY game_key, match_seq ORDER BY {ORDER} ROWS UNBOUNDED PRECEDING),
-                  p AS (PARTITION BY game_key, match_seq, team, player, action ORDER BY {ORDER} ROWS UNBOUNDED PRECEDING)"""
+        _stream_window(3600, "upd", "", "count(*) AS streaks", "count(*) >= 2")
     ),
 }
 

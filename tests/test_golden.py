@@ -1,7 +1,7 @@
 """The hand-made feed against hand-computed results."""
 
 import pytest
-from conftest import GOLDEN, make_feed, rows
+from conftest import GOLDEN, make_feed, play, rows, start
 from pyspark.sql import functions as F
 
 from courtside.operators import boxscore, latest, lineups, parse, segments, stats, streaks
@@ -129,16 +129,33 @@ def test_dashboard_document(t):
     doc = doc[0].asDict(recursive=True)
     assert doc["season"] == {"label": "2025/2026", "current_round": 1, "season_ended": True}
     assert [r["team"] for r in doc["ranking"]] == ["IND", "BRK", "CHO", "LAL"]
-    assert doc["player_points"] == {"A1": 5, "B1": 3}
-    assert doc["leaders_assists"] == [] and doc["live_matches"] == []
+    assert rows(t.points, "player", "total") == [("A1", 5), ("B1", 3)]
+    assert doc["leaders_assists"] == [] and t.live.count() == 0
     assert len(doc["alerts"]) == 3 and doc["latest_odds"]["teamA"] == "IND"
 
 
-def test_document_continues_in_parts(t):
-    parts = dash.dashboard(t, entries=1).collect()
-    players = [p for row in parts for p in row["player_points"]]
-    assert sorted(players) == ["A1", "B1"]
-    assert sum(row["season"] is not None for row in parts) == 1
+@pytest.mark.parametrize("entries", [1, 5, 10_000])
+def test_maps_hold_every_player_whatever_their_size(t, entries):
+    maps = dash.snapshot_maps(t.points, entries).collect()
+    assert sorted(p for row in maps for p in row["player_points"].items()) == [("A1", 5), ("B1", 3)]
+
+
+def test_quarter_of_the_match_that_was_live_at_the_alert(spark):
+    """A play without a quarter takes that of its match then, also when the match is over by now."""
+    messages = [
+        (None, 0, {"tipo": "SEASON_START", "times": ["IND", "BRK"]}),
+        ("Game_1", 1, start("IND", "BRK", IND=(["A1"], []), BRK=(["B1"], []))),
+        ("Game_1", 2, play("IND", 3, "IND 0 X 0 BRK", acao="FOUL", jogador_commit="B1", jogador_receive="A1")),
+        ("Game_1", 3, play("IND", None, "IND 0 X 0 BRK", acao="POINT", jogador="A1", valor=3)),
+        ("Game_1", 4, {"tipo": "FINAL", "match": "IND 3 X 0 BRK"}),
+        ("Game_2", 5, start("IND", "BRK", IND=(["A1"], []), BRK=(["B1"], []))),
+        ("Game_2", 6, play("IND", 4, "IND 0 X 0 BRK", acao="TURNOVER", jogador="B1")),
+    ]
+    feed = segments.segment(parse.parse_feed(make_feed(spark, messages)))
+    played = parse.plays(feed)
+    sent = streaks.alerts(streaks.hot_streaks(parse.scoring_plays(played), emit="updates"))
+    found = streaks.enrich_alerts(sent, parse.rosters(feed), played, feed)
+    assert rows(found, "player", "team", "quarter", "points") == [("A1", "IND", 3, 3)]
 
 
 def test_match_board(feed):

@@ -9,6 +9,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(__file__), "..", "tools"))
 import check_oracle  # noqa: E402
 
 import __spark_entry__ as entry  # noqa: E402
+from courtside.plans.registered import QUERIES  # noqa: E402
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -20,11 +21,13 @@ def con():
 
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    # The nested document has no flat form; its summary is compared instead.
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"dashboard"}
+    # The nested document has no flat form; its summary is compared instead. What is trained
+    # or hashed has no SQL; tests/llm compares it with brute force.
+    without = set(entry.queries()) - set(entry.oracle_sql())
+    assert {n for n in without if not n.startswith("op")} <= {"dashboard", "pipeline"}
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     assert check_oracle.compare(spark, con, SF, name) == ""
 

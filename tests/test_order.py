@@ -57,8 +57,8 @@ def test_repeated_keys_seasons_and_stray_finals(spark):
         ],
     )
     parsed = parse.parse_feed(feed)
-    for limit in (64, 0):
-        got = segments.with_match(segments.with_season(parsed, limit, bucket_seconds=3), bucket_seconds=2)
+    for length in (2, 86_400):
+        got = segments.with_match(segments.with_season(parsed, length), length)
         by_offset = {r["offset"]: (r["season_id"], r["match_seq"]) for r in got.collect()}
         assert by_offset == {
             0: (0, 0), 1: (1, 0), 2: (1, 1), 3: (1, 1), 4: (1, 2), 5: (1, 0),
@@ -144,6 +144,6 @@ def test_alert_context_is_as_of_the_alert(spark):
     feed = segments.segment(parse.parse_feed(make_feed(spark, messages)))
     played = parse.plays(feed)
     sent = streaks.alerts(streaks.hot_streaks(parse.scoring_plays(played), emit="updates"))
-    got = streaks.enrich_alerts(sent, parse.rosters(feed), played, latest.live_matches(feed))
-    # The second alert has no quarter of its own and takes the live match's.
-    assert rows(got, "offset", "player", "team", "quarter") == [(2, "p", "A", 2), (4, "p", "A", 4)]
+    got = streaks.enrich_alerts(sent, parse.rosters(feed), played, feed)
+    # The second alert has no quarter of its own and takes the live match's as it was then.
+    assert rows(got, "offset", "player", "team", "quarter") == [(2, "p", "A", 2), (4, "p", "A", 3)]

@@ -88,19 +88,6 @@ def test_exact_and_chained_simultaneous_streaks(spark, tmp_path):
     assert rows(spark.read.parquet(three), F.second("window_start"), "streaks") == [(4, 3)]
 
 
-def test_match_state_after_every_message(spark, stored, tmp_path):
-    sinks.configure_state(spark)
-    out = str(tmp_path / "m")
-    board = stateful.match_state_stream(parse.parse_feed(stream(spark, stored, 1)))
-    sinks.write_stream(board, out, f"{out}.c", available_now=True).awaitTermination()
-    got = rows(spark.read.parquet(out), "offset", "home_score", "away_score", "quarter", "turnovers", "ended", "player_total")
-    assert got == [
-        (2, 0, 0, -1, 0, False, None), (3, 0, 0, 1, 0, False, 2), (4, 2, 0, 1, 0, False, 3),
-        (5, 2, 3, 1, 0, False, 5), (6, 5, 3, 1, 0, False, None), (7, 5, 3, 2, 0, False, None),
-        (8, 5, 3, 2, 1, False, None), (9, 5, 3, 2, 1, True, None),
-    ]
-
-
 def test_live_dashboard_ends_like_the_batch_one(spark, golden, stored, tmp_path):
     out = str(tmp_path / "d")
     jobs.live_dashboard(
