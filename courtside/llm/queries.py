@@ -113,4 +113,48 @@ ORACLE_SQL: dict[str, str] = {
             sum(length(t) + CASE WHEN joined THEN 5 ELSE length(r) + 20 END)::BIGINT AS formatted_chars
         FROM escaped GROUP BY conv_id
     """,
+    "op4_embedding_dedup": """
+        WITH RECURSIVE good AS (
+            SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
+            ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9
+        ), reach AS (
+            SELECT vec_id, vec_id AS r FROM embeddings
+            UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON links.a = reach.r
+        )
+        SELECT c.vec_id, coalesce(n, 0) AS n_links, component_id, c.vec_id = component_id AS kept
+        FROM (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id) c
+        LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) l USING (vec_id)
+    """,
+    "op10_decontamination": """
+        WITH doc AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+        ), item AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark
+        ), sized AS (
+            SELECT *, least(10, len(w)) AS n FROM item WHERE len(w) > 0
+        ), windows AS (
+            SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS said
+            FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM sized)
+        ), places AS (
+            SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS said
+            FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+                  FROM doc, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)
+        ), hits AS (
+            SELECT doc_id, i, n, item_id FROM places JOIN windows USING (n, said)
+        )
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+            sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM doc
+        LEFT JOIN (SELECT doc_id, count(DISTINCT pos) AS n_hit
+                   FROM (SELECT doc_id, unnest(range(i, i + n)) AS pos FROM hits) GROUP BY doc_id) USING (doc_id)
+        LEFT JOIN (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+                   FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id) USING (doc_id)
+    """,
 }
