@@ -19,6 +19,7 @@ def spark():
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", os.environ.get("TEST_SHARED_DIR", "/tmp/courtside-shared"))
         .config("spark.driver.memory", "6g")
         .config("spark.ui.enabled", "false")
         .getOrCreate()
