@@ -1,7 +1,8 @@
 """Last-write-wins tables: the newest value of a key in feed order.
 
-``max_by`` over the feed order is an aggregate with map-side combine, so no history is
-sorted or collected.
+The newest *time* of each key is a fixed-width value, so a hash aggregate finds it without
+sorting any history. Only the rows of those times, few per key, go on to ``max_by`` over
+the full feed order, which settles equal times.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from courtside.functions.scoreboard import scoreboard, title_teams
 from courtside.functions.text import is_blank
 from courtside.operators.parse import control, match_key, plays, start_teams
-from courtside.schema import FINAL, PLAY, ROUND_START, SEASON_END, SEASON_START, START, order_key
+from courtside.schema import FINAL, ORDER, PLAY, ROUND_START, SEASON_END, SEASON_START, START, order_key
 
 
 def _last(value: Column | str, when: Column | None = None) -> Column:
@@ -20,6 +21,21 @@ def _last(value: Column | str, when: Column | None = None) -> Column:
     return F.max_by(value, order_key() if when is None else F.when(when, order_key()))
 
 
+def _newest_rows(df: DataFrame, by: list[str], *conditions: Column) -> DataFrame:
+    """The rows that hold the newest time of some condition within their key."""
+    tops = [F.max(F.when(c, F.col("ts"))).alias(f"_top{i}") for i, c in enumerate(conditions)]
+    kept = F.lit(False)
+    if by:
+        rows = df.join(df.groupBy(*by).agg(*tops), by)
+        for i, c in enumerate(conditions):
+            kept = kept | (c & (F.col("ts") == F.col(f"_top{i}")))
+    else:
+        rows = df
+        for c, top in zip(conditions, tops):
+            kept = kept | (c & (F.col("ts") == df.agg(top).scalar()))
+    return rows.where(kept).select(*df.columns)
+
+
 def match_lines(parsed: DataFrame) -> DataFrame:
     """Start, play and final messages with the score line each one shows.
 
@@ -44,14 +60,25 @@ def live_matches(parsed: DataFrame) -> DataFrame:
     """
     key = match_key(parsed)
     final = F.col("tipo") == FINAL
+    shown, timed = match_lines(parsed), ~final & F.col("quarter").isNotNull()
+    times = shown.groupBy(*key).agg(
+        F.max(F.when(~final, F.col("ts"))).alias("_line"),
+        F.max(F.when(timed, F.col("ts"))).alias("_quarter"),
+        F.min(F.when(~final, F.col("ts"))).alias("_start"),
+        F.bool_or(final).alias("ended"),
+    )
+    at = F.col("ts")
+    edge = (at == F.col("_line")) | (at == F.col("_start")) | (timed & (at == F.col("_quarter")))
     per_match = (
-        match_lines(parsed)
+        shown.where(~final)
+        .join(times, key)
+        .where(edge)
         .groupBy(*key)
         .agg(
-            _last(F.struct("line", "titled"), ~final).alias("l"),
-            _last("quarter", ~final & F.col("quarter").isNotNull()).alias("quarter"),
-            F.min(F.when(~final, order_key())).alias("start_order"),
-            F.bool_or(final).alias("ended"),
+            _last(F.struct("line", "titled")).alias("l"),
+            _last("quarter", timed).alias("quarter"),
+            F.min(order_key()).alias("start_order"),
+            F.bool_or("ended").alias("ended"),
         )
     )
     state = F.struct("l", "quarter", "start_order", "ended")
@@ -75,7 +102,8 @@ def live_matches(parsed: DataFrame) -> DataFrame:
 def last_plays(plays: DataFrame, by: list[str]) -> DataFrame:
     """The newest play of each key: enough for the newest odds, which each play restates."""
     rest = [c for c in plays.columns if c not in by]
-    return plays.groupBy(*by).agg(_last(F.struct(*rest)).alias("p")).select(*by, "p.*")
+    newest = _newest_rows(plays, by, F.lit(True))
+    return newest.groupBy(*by).agg(_last(F.struct(*rest)).alias("p")).select(*by, "p.*")
 
 
 def latest_odds(odds: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -86,7 +114,8 @@ def latest_odds(odds: DataFrame, by: list[str] | None = None) -> DataFrame:
         F.coalesce("oddsA", F.lit(0.0)).alias("oddsA"),
         F.coalesce("oddsB", F.lit(0.0)).alias("oddsB"),
     )
-    return odds.groupBy(*(by or [])).agg(_last(state).alias("o")).select(*(by or []), "o.*")
+    newest = _newest_rows(odds, by or [], F.lit(True))
+    return newest.groupBy(*(by or [])).agg(_last(state).alias("o")).select(*(by or []), "o.*")
 
 
 def game_odds(odds: DataFrame, match_ends: DataFrame) -> DataFrame:
@@ -116,10 +145,14 @@ def team_matchups(parsed: DataFrame, odds: DataFrame) -> DataFrame:
     final = F.col("tipo") == FINAL
     # Unreadable lines are passed over inside the aggregate: a filter on the score would
     # be pushed below its projection and read every line twice.
-    per_match = (
+    lines = (
         match_lines(parsed)
         .withColumn("s", scoreboard("line", "dashboard", F.col("titled")))
-        .groupBy(*key, final.alias("is_final"))
+        .select(*key, *ORDER, final.alias("is_final"), "s")
+    )
+    per_match = (
+        _newest_rows(lines, [*key, "is_final"], named)
+        .groupBy(*key, "is_final")
         .agg(_last("s", named).alias("s"), F.max(F.when(named, order_key())).alias("at"))
         .where(F.col("at").isNotNull())
     )
@@ -195,14 +228,17 @@ def match_scores(parsed: DataFrame) -> DataFrame:
     key = match_key(parsed)
     line = F.when(F.col("tipo") == FINAL, F.col("match_line")).otherwise(F.col("scoreboard"))
     shown = parsed.where(F.col("tipo").isin(PLAY, FINAL)).withColumn("line", line)
-    rows = shown.withColumn("s", scoreboard("line", "wide"))
+    lines = shown.withColumn("s", scoreboard("line", "wide")).select(*key, *ORDER, "tipo", "quarter", "s")
+    readable = F.col("s").isNotNull()
+    timed = (F.col("tipo") == PLAY) & F.coalesce(F.col("quarter") > 0, F.lit(False))
+    newest = _newest_rows(lines, key, readable, timed)
+    values = newest.groupBy(*key).agg(
+        _last("s", readable).alias("s"), _last("quarter", timed).alias("quarter")
+    )
     return (
-        rows.groupBy(*key)
-        .agg(
-            _last("s", F.col("s").isNotNull()).alias("s"),
-            _last("quarter", (F.col("tipo") == PLAY) & (F.col("quarter") > 0)).alias("quarter"),
-            F.bool_or(F.col("tipo") == FINAL).alias("ended"),
-        )
+        shown.groupBy(*key)
+        .agg(F.bool_or(F.col("tipo") == FINAL).alias("ended"))
+        .join(values, key, "left")
         .select(
             *key,
             "s.home",
@@ -237,11 +273,11 @@ def context_rows(rosters: DataFrame, plays: DataFrame) -> DataFrame:
 
 def player_context(rosters: DataFrame, plays: DataFrame) -> DataFrame:
     """Latest team and quarter of each player and season."""
-    return (
-        context_rows(rosters, plays)
-        .groupBy("season_id", "player")
-        .agg(
-            _last("team", F.col("team").isNotNull()).alias("team"),
-            _last("quarter", F.col("quarter").isNotNull()).alias("quarter"),
-        )
+    key = ["season_id", "player"]
+    told = context_rows(rosters, plays)
+    has_team, has_quarter = F.col("team").isNotNull(), F.col("quarter").isNotNull()
+    newest = _newest_rows(told, key, has_team, has_quarter)
+    values = newest.groupBy(*key).agg(
+        _last("team", has_team).alias("team"), _last("quarter", has_quarter).alias("quarter")
     )
+    return told.select(*key).distinct().join(values, key, "left")
