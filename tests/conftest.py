@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from courtside.schema import FEED_SCHEMA  # noqa: E402
+from courtside.sources.store import drop_stored  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -25,7 +26,8 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    return session
+    yield session
+    drop_stored(session)
 
 
 def play(team, quarter, line, **details):
