@@ -21,7 +21,7 @@ from courtside.operators import boxscore, latest, lineups, parse, roster, segmen
 from courtside.plans import dashboard as dash
 from courtside.plans import ranking as rank
 from courtside.plans.catalog import team_catalog
-from courtside.schema import MATCH, ORDER
+from courtside.schema import MATCH, ORDER, SIMULTANEOUS_TOPIC, STREAK_TOPIC
 from courtside.session import configure
 from courtside.sources import tables
 from courtside.sources.store import new_path, stored_once
@@ -460,6 +460,21 @@ def simultaneous_streak_updates(spark, sf):
     return _plain_time(streaks.simultaneous_streaks(sent, TOGETHER_WINDOW, emit="updates"))
 
 
+@query
+def simultaneous_topic(spark, sf):
+    """Counts of simultaneous streaks as topic records."""
+    found = streaks.simultaneous_streaks(_updates(_scoring(spark, sf)), TOGETHER_WINDOW)
+    records = sinks.topic_records(found, SIMULTANEOUS_TOPIC)
+    return records.groupBy("key", F.hex("value").alias("int64_hex")).agg(F.count("*").alias("records"))
+
+
+@query
+def alert_topic(spark, sf):
+    """Alerts as topic records."""
+    sent = streaks.alerts(_updates(_scoring(spark, sf)))
+    return sinks.topic_records(sent, STREAK_TOPIC).select("key", F.col("value").alias("message"))
+
+
 def _enriched(feed: DataFrame) -> DataFrame:
     played = parse.plays(feed)
     sent = streaks.alerts(_updates(parse.scoring_plays(played)))
@@ -575,6 +590,19 @@ def player_leaders_as_coded(spark, sf):
     return rank.player_leaders(_totals(_stored(spark, sf)), as_coded=True)
 
 
+def _now_query(name: str) -> Query:
+    """What a live board shows: the newest season only."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        return segments.current_season(QUERIES[name](spark, sf), latest.season_info(_stored(spark, sf)))
+
+    return run
+
+
+for _name in ("season_info", "ranking", "player_leaders", "hot_streak_board"):
+    register(f"{_name}_now", _now_query(_name))
+
+
 def _dashboard_tables(spark: SparkSession, sf: str) -> dash.Tables:
     return dash.tables(
         spark,

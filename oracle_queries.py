@@ -649,3 +649,16 @@ ORACLE: dict[str, str] = {
 
 for _same in ("player_points", "team_stats", "odds"):
     ORACLE[f"stream_{_same}"] = ORACLE[_same]
+for _now in ("season_info", "ranking", "player_leaders", "hot_streak_board"):
+    _body = ORACLE[_now].removeprefix(_EVENTS)
+    ORACLE[f"{_now}_now"] = _events(
+        f"SELECT * FROM ({_body}) WHERE season_id = (SELECT max(season_id) FROM info)"
+    )
+
+ORACLE["simultaneous_topic"] = _events(
+    """SELECT 'HOTSTREAK' AS key, lpad(hex(streaks), 16, '0') AS int64_hex, count(*) AS records
+       FROM (SELECT count(*) AS streaks FROM upd GROUP BY epoch_us(ts) // 3600000000 HAVING count(*) >= 2) GROUP BY streaks"""
+)
+ORACLE["alert_topic"] = _events(
+    """SELECT player AS key, 'O ' || player || ' está pegando fogo! Fez ' || total || ' pontos em sequência!' AS message FROM upd"""
+)
