@@ -105,8 +105,8 @@ def runs_for(recall: float) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - survival(LEVELS)))
 
 
-def paths(shingles: np.ndarray, runs: int, threshold: float) -> list[list[tuple[int, int]]]:
-    """For each level the pairs (parent path, path) that a set chooses."""
+def paths(shingles: np.ndarray, runs: int, threshold: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each level the parent paths and the paths that a set chooses."""
     # sets of Jaccard similarity s share 2s / (1 + s) of the larger one
     share = 2 * threshold / (1 + threshold)
     rate = min(1.0, OVERSAMPLE / (share * max(1, len(shingles))))
@@ -114,18 +114,20 @@ def paths(shingles: np.ndarray, runs: int, threshold: float) -> list[list[tuple[
     parents = mix(np.arange(1, runs + 1, dtype=np.uint64) * _B)
     out = []
     for _ in range(LEVELS):
-        level: list[tuple[int, int]] = []
-        for parent in parents:
-            keys = mix(shingles ^ parent)
-            chosen = shingles[keys <= limit]
-            level += [(int(parent), int(p)) for p in mix(mix(chosen + parent) ^ parent)]
-        out.append(level)
-        parents = np.array([p for _, p in level], np.uint64)
+        level: list[tuple[np.ndarray, np.ndarray]] = []
+        step = max(1, (1 << 20) // max(1, len(shingles)))
+        for at in range(0, len(parents), step):
+            some = parents[at : at + step]
+            # shingles and paths are scrambled already: one odd multiplication pairs them
+            i, j = np.nonzero((shingles[None, :] ^ some[:, None]) * _A <= limit)
+            level.append((some[i], mix(mix(shingles[j] + some[i]) ^ some[i])))
+        out.append(tuple(np.concatenate(x) for x in zip(*level)) if level else (parents[:0], parents[:0]))
+        parents = out[-1][1]
     return out
 
 
-def _signed(values: list[int]) -> np.ndarray:
-    return np.array(values, np.uint64).view(np.int64)
+def _signed(values: list[int] | np.ndarray) -> np.ndarray:
+    return np.asarray(values, np.uint64).view(np.int64)
 
 
 SETS = (
@@ -149,9 +151,9 @@ def _describe(docs: DataFrame, runs: int, threshold: float, width: int) -> DataF
                         high, low = mix(s).sum(), np.bitwise_xor.reduce(mix(s + _A)) + s.sum() * _B
                         levels = paths(s, runs, threshold)
                     row = [node, *_signed([int(high), int(low)]).tolist(), len(s), sketch(s).tobytes()]
-                    row.append(_signed([p for _, p in levels[0]]))
-                    for level in levels[1:]:
-                        row += [_signed([a for a, _ in level]), _signed([p for _, p in level])]
+                    row.append(_signed(levels[0][1]))
+                    for parents, chosen in levels[1:]:
+                        row += [_signed(parents), _signed(chosen)]
                     for column, value in zip(columns, row):
                         column.append(value)
                 kinds = [pa.int64()] * 4 + [pa.binary()] + [pa.list_(pa.int64())] * (len(columns) - 5)
