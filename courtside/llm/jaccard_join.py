@@ -8,7 +8,8 @@ hash of path and token samples, at a rate inverse to the size of the set, so tha
 sets expect to sample a shared token. Sets that chose the same path meet in its bucket.
 Buckets of at most ``bucket`` sets are compared by brute force; the sets of larger buckets
 split further along their next sampled tokens, up to ``LEVELS`` tokens, and what is still too
-large there is compared in all its tiles, so no case is left out. Runs repeat until the
+large there is compared in all its tiles, so no case is left out. A large bucket that is one
+candidate group already needs no more of it. Runs repeat until the
 chance to have missed a pair of similarity 0.8 is below one minus ``recall`` (``runs_for``).
 
 In buckets, sets are compared by size and by 128 one-byte minima of their hashes (a pair of
@@ -30,6 +31,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -285,30 +287,68 @@ def _with_shingles(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, "node bigint, group bigint, blocks bigint, times bigint, shingles binary")
 
 
-def _buckets(sets: DataFrame, bucket: int, block: int, shared: Shared) -> DataFrame:
-    """Rows (path, low, high, node) of all buckets that are compared."""
-    parts = []
+def _pivot_links(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    """Links of texts to the pivots of their buckets, where possible."""
+    for batch in batches:
+        column = {name: batch.column(name) for name in ("node", "pivot", "n", "pivot_n")}
+        node, pivot, n, pivot_n = (c.to_numpy() for c in column.values())
+        own, other = (
+            np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS)
+            for c in ("sketch", "pivot_sketch")
+        )
+        ok = np.flatnonzero(_possible(n, pivot_n, own, other, threshold))
+        yield pa.RecordBatch.from_arrays([pa.array(node[ok]), pa.array(pivot[ok])], ["a", "b"])
+
+
+def _compared(buckets: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
+    """Candidate links (a, b) of buckets (path, low, high, node), by brute force."""
+    keys = ["path", "low", "high"]
+    met = buckets.join(sketches, "node").repartition(*keys).sortWithinPartitions(*keys)
+    return met.mapInArrow(lambda batches: _bucket_links(batches, threshold), "a bigint, b bigint")
+
+
+def _candidates(sets: DataFrame, bucket: int, block: int, threshold: float, shared: Shared) -> DataFrame:
+    """Candidate links (a, b) from all runs.
+
+    Members of a large bucket are first compared with one of them. A bucket whose members
+    are all in one candidate group by then can add nothing and is left; so a large group of
+    near copies, which no further token would split, is not carried from level to level.
+    """
+    sketches = sets.select("node", "n", "sketch")
+    zero = F.lit(0).cast("long")
     nodes = sets.select("node", F.explode("first").alias("path"))
+    links, groups = [], None
     for level in range(1, LEVELS + 1):
         sizes = nodes.groupBy("path").agg(F.count("*").alias("size")).where("size > 1")
         met = shared.table(nodes.join(sizes, "path"))
         small = met.where(F.col("size") <= bucket)
-        parts.append(small.select("path", F.lit(0).cast("long").alias("low"), F.lit(0).cast("long").alias("high"), "node"))
+        found = _compared(small.select("path", zero.alias("low"), zero.alias("high"), "node"), sketches, threshold)
+        links.append(shared.table(found))
         large = met.where(F.col("size") > bucket)
-        if level == LEVELS or large.isEmpty():
-            if level == LEVELS:
-                tiled = _tiles(large.withColumn("blocks", F.ceil(F.col("size") / block)), "blocks", "path")
-                parts.append(tiled.select("path", "low", "high", "node"))
+        if large.isEmpty():
+            break
+        if groups is None:
+            pivots = large.groupBy("path").agg(F.min("node").alias("pivot"))
+            named = sketches.select(
+                F.col("node").alias("pivot"), F.col("n").alias("pivot_n"), F.col("sketch").alias("pivot_sketch")
+            )
+            pairs = large.join(sketches, "node").join(pivots.join(named, "pivot"), "path").where("node <> pivot")
+            starred = pairs.mapInArrow(lambda batches: _pivot_links(batches, threshold), "a bigint, b bigint")
+            links.append(shared.table(starred))
+            groups = shared.table(connected_components(links[0].unionByName(links[1]), shared))
+        grouped = large.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
+        mixed = grouped.groupBy("path").agg(F.min("group").alias("one"), F.max("group").alias("other"))
+        large = shared.table(large.join(mixed.where("one <> other"), "path", "left_semi"))
+        if level == LEVELS:
+            tiled = _tiles(large.withColumn("blocks", F.ceil(F.col("size") / block)), "blocks", "path")
+            links.append(_compared(tiled.select("path", "low", "high", "node"), sketches, threshold))
             break
         children = sets.select("node", F.explode(F.arrays_zip(f"from{level + 1}", f"to{level + 1}")).alias("_c"))
         children = children.select("node", F.col(f"_c.from{level + 1}").alias("path"), F.col(f"_c.to{level + 1}").alias("to"))
         nodes = children.join(large.select("node", "path"), ["node", "path"], "left_semi").select(
             "node", F.col("to").alias("path")
         )
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, links)
 
 
 def similar_texts(
@@ -333,11 +373,7 @@ def similar_texts(
     # one row per different set: the row of the class's smallest id
     sets = worded.join(classes.select(*key, "node"), [*key, "node"], "left_semi").dropDuplicates([*key])
     sets = shared.table(sets)
-    buckets = _buckets(sets, bucket, block, shared)
-    compared = buckets.join(sets.select("node", "n", "sketch"), "node")
-    keys = ["path", "low", "high"]
-    met = compared.repartition(*keys).sortWithinPartitions(*keys)
-    candidates = met.mapInArrow(lambda batches: _bucket_links(batches, threshold), "a bigint, b bigint")
+    candidates = _candidates(sets, bucket, block, threshold, shared)
     groups = shared.table(connected_components(candidates, shared))
     sizes = groups.join(sets.select("node", "n"), "node").groupBy("component").agg(
         F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("n") / block_shingles)).alias("blocks")
