@@ -54,6 +54,16 @@ def word_class(word: bytes, classes: int) -> int:
     return 0 if word == END else 1 + zlib.crc32(word[-3:]) % (classes - 1)
 
 
+def pack(numbers: np.ndarray) -> bytes:
+    """Int32 numbers as four rows of bytes; the upper rows, nearly all 0, compress to nothing."""
+    return np.ascontiguousarray(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    """The numbers that ``pack`` was given."""
+    return np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+
+
 def chunk_texts(docs: DataFrame, classes: int, tokens: int) -> DataFrame:
     """Rows of ``CHUNKS``: about ``tokens`` tokens each, whole texts. ``docs``: key, text, held."""
 
@@ -71,13 +81,13 @@ def chunk_texts(docs: DataFrame, classes: int, tokens: int) -> DataFrame:
             return pa.RecordBatch.from_pydict(
                 {
                     "chunk": pa.array([name], pa.string()),
-                    "ids": pa.array([flat.tobytes()], pa.binary()),
+                    "ids": pa.array([pack(flat)], pa.binary()),
                     "keys": pa.array([keys], pa.list_(pa.string())),
                     "lengths": pa.array([np.array(lengths, np.int64).tobytes()], pa.binary()),
                     "held": pa.array([np.array(held, np.int8).tobytes()], pa.binary()),
                     "words": pa.array([words], pa.list_(pa.binary())),
                     "counts": pa.array([counts], pa.list_(pa.int64())),
-                    "classes": pa.array([kinds.tobytes()], pa.binary()),
+                    "classes": pa.array([pack(kinds)], pa.binary()),
                 }
             )
 
@@ -200,7 +210,7 @@ def _round(chunks: DataFrame, model: Hidden, part: tuple[int, int] | None) -> Hi
         sums = Hidden(np.zeros(states), np.zeros((states, states)), np.zeros((states, classes)))
         for batch in batches:
             for row in batch.to_pylist():
-                ids, kinds = np.frombuffer(row["ids"], np.int32), np.frombuffer(row["classes"], np.int32)
+                ids, kinds = unpack(row["ids"]), unpack(row["classes"])
                 lengths = np.frombuffer(row["lengths"], np.int64)
                 ends = np.cumsum(lengths)
                 chosen = np.frombuffer(row["held"], np.int8) == 0
@@ -289,7 +299,7 @@ def _scored(
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
                 take = lambda name, kind: np.frombuffer(row.column(name)[0].as_py(), kind)  # noqa: B023, E731
-                ids, kinds = take("ids", np.int32), take("classes", np.int32)
+                ids, kinds = (unpack(row.column(name)[0].as_py()) for name in ("ids", "classes"))
                 lengths, held = take("lengths", np.int64), take("held", np.int8)
                 keys = row.column("keys")[0].as_py()
                 found = row.column("found").flatten()

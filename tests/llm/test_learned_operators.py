@@ -230,6 +230,12 @@ def test_probabilities_of_words_sum_to_one():
     assert all(math.isclose(within[k] + 1 / mass[k], 1) for k in range(classes))
 
 
+def test_packed_numbers_come_back():
+    numbers = np.array([0, 1, 255, 256, 70_000, 2**31 - 1], np.int32)
+    assert (hidden_markov.unpack(hidden_markov.pack(numbers)) == numbers).all()
+    assert len(hidden_markov.unpack(hidden_markov.pack(numbers[:0]))) == 0
+
+
 def test_language_model_of_nothing(spark):
     none = spark.createDataFrame([], DOCS)
     assert hidden_markov.score_texts(none).collect() == []
