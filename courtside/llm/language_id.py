@@ -86,17 +86,17 @@ def document_frequencies(docs: DataFrame, text_col: str) -> tuple[np.ndarray, in
 
 
 def _packed(text: Column) -> Column:
-    @F.arrow_udf("struct<ids:binary,counts:binary>")
+    @F.arrow_udf("struct<ids:binary,shares:binary>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hashed = HashedNgrams(ORDERS, BITS, False)
         for batch in batches:
-            ids, counts = [], []
+            ids, shares = [], []
             for value in batch:
-                c = _counts(hashed, value.as_py())
-                kept = np.flatnonzero(c)
-                ids.append(kept.astype(np.int32).tobytes())
-                counts.append(c[kept].astype(np.float32).tobytes())
-            yield pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(counts, pa.binary())], ["ids", "counts"])
+                counts = _counts(hashed, value.as_py())
+                kept = np.flatnonzero(counts)
+                ids.append(kept.astype(np.uint16).tobytes())
+                shares.append((counts[kept] / max(1, counts.sum())).astype(np.float32).tobytes())
+            yield pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(shares, pa.binary())], ["ids", "shares"])
 
     return run(text)
 
@@ -124,6 +124,7 @@ def follow_the_leader(
     for _ in range(epochs):
         for at in rng.permutation(len(rows)):
             ids, values, label = rows[at]
+            ids = ids.astype(np.int64)
             w = weights(ids)
             p = _softmax(values @ w)
             p[label] -= 1
@@ -174,15 +175,17 @@ def fit(
     df, n = document_frequencies(known, "_text")
     idf = np.log((1 + n) / (1 + df))
     chosen = sample_rows(known, "_id", sample).select("_id", "_lang", _packed(F.col("_text")).alias("_f"))
-    raw = sorted(chosen.collect(), key=lambda r: (r["_id"], r["_lang"]))
-    languages = sorted({r["_lang"] for r in raw})
-    number = {lang: k for k, lang in enumerate(languages)}
-    rows = []
-    for r in raw:
-        ids, counts = np.frombuffer(r["_f"]["ids"], np.int32), np.frombuffer(r["_f"]["counts"], np.float32)
+    raw = []
+    for r in chosen.select("_id", "_lang", "_f.*").toLocalIterator():  # at most ``sample`` rows, a partition at a time
+        ids, shares = np.frombuffer(r["ids"], np.uint16), np.frombuffer(r["shares"], np.float32)
         if len(ids):
-            share = counts.astype(np.float64) / counts.sum()
-            rows.append((np.append(ids, len(idf)), np.append(share * idf[ids] * _SCALE, 1.0), number[r["_lang"]]))
+            # the last feature is the bias
+            values = np.append(shares * idf[ids] * _SCALE, 1.0).astype(np.float32)
+            raw.append((r["_id"], r["_lang"], np.append(ids, np.uint16(len(idf))), values))
+    raw.sort(key=lambda r: r[:2])
+    languages = sorted({r[1] for r in raw})
+    number = {lang: k for k, lang in enumerate(languages)}
+    rows = [(ids, values, number[lang]) for _, lang, ids, values in raw]
     if not rows:
         return Model([], np.zeros((1 << BITS, 0)), np.zeros(0))
     held = [row for at, row in enumerate(rows) if at % 5 == 0]

@@ -40,45 +40,48 @@ class Model:
     bias: float
 
 
-def _features(hashed: HashedNgrams, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """The buckets of a text and how often each occurs."""
-    counts = np.zeros(REPEAT + 1, np.int64)
+def _features(hashed: HashedNgrams, text: str | None) -> tuple[np.ndarray, np.ndarray, float]:
+    """The buckets of a text, the share of each, and the share of repeated words."""
+    counts, repeated = np.zeros(REPEAT, np.int64), 0
     for buckets, repeats in hashed.of_words((text or "").encode().split()):
-        counts += np.bincount(buckets, minlength=REPEAT + 1)
-        counts[REPEAT] += repeats
-    kept = np.flatnonzero(counts)
-    return kept, counts[kept]
+        counts += np.bincount(buckets, minlength=REPEAT)
+        repeated += repeats
+    kept, total = np.flatnonzero(counts), max(1, int(counts.sum()) + repeated)
+    return kept.astype(np.uint16), (counts[kept] / total).astype(np.float32), repeated / total
 
 
 def _packed(text: Column) -> Column:
-    @F.arrow_udf("struct<ids:binary,counts:binary>")
+    @F.arrow_udf("struct<ids:binary,shares:binary,repeated:double>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hashed = HashedNgrams(ORDERS, BITS, True)
         for batch in batches:
-            pairs = [_features(hashed, t.as_py()) for t in batch]
+            found = [_features(hashed, t.as_py()) for t in batch]
             yield pa.StructArray.from_arrays(
                 [
-                    pa.array([i.astype(np.int32).tobytes() for i, _ in pairs], pa.binary()),
-                    pa.array([c.astype(np.float32).tobytes() for _, c in pairs], pa.binary()),
+                    pa.array([i.tobytes() for i, _, _ in found], pa.binary()),
+                    pa.array([s.tobytes() for _, s, _ in found], pa.binary()),
+                    pa.array([r for _, _, r in found], pa.float64()),
                 ],
-                ["ids", "counts"],
+                ["ids", "shares", "repeated"],
             )
 
     return run(text)
 
 
 def train(
-    rows: list[tuple[np.ndarray, np.ndarray, int]], dim: int = 16, epochs: int = 10, rate: float = 0.5, seed: int = 1
+    rows: list[tuple[np.ndarray, np.ndarray, float, int]], dim: int = 16, epochs: int = 10, rate: float = 0.5, seed: int = 1
 ) -> Model:
-    """Vectors and layer from (feature ids, their counts, label 0 or 1)."""
+    """Vectors and layer from (buckets, their shares, share of repeats, label 0 or 1)."""
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / dim, 1 / dim, (REPEAT + 1, dim)).astype(np.float32)
     layer, bias = np.zeros((2, dim), np.float32), np.zeros(2, np.float32)
-    rows = [(i, (c / c.sum()).astype(np.float32), y) for i, c, y in rows if len(i)]
+    rows = [r for r in rows if len(r[0])]
     steps, done = max(1, epochs * len(rows)), 0
     for _ in range(epochs):
         for at in rng.permutation(len(rows)):
-            ids, share, label = rows[at]
+            buckets, shares, repeated, label = rows[at]
+            ids = np.append(buckets.astype(np.int64), REPEAT)
+            share = np.append(shares, np.float32(repeated))
             mean = share @ vectors[ids]
             logits = layer @ mean + bias
             p = np.exp(logits - logits.max())
@@ -111,11 +114,13 @@ def fit(
     texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).cast("string").alias("_text"))
     # at most ``sample`` rows are broadcast
     found = texts.join(F.broadcast(marked), F.col("_doc") == F.col("_id")).dropDuplicates(["_doc"])
-    rows = found.select("_doc", "_y", _packed(F.col("_text")).alias("_f")).collect()
-    rows.sort(key=lambda r: r["_doc"])
-    return train(
-        [(np.frombuffer(r["_f"]["ids"], np.int32), np.frombuffer(r["_f"]["counts"], np.float32), int(r["_y"])) for r in rows]
-    )
+    packed = found.select("_doc", "_y", _packed(F.col("_text")).alias("_f")).select("_doc", "_y", "_f.*")
+    rows = []
+    for r in packed.toLocalIterator():  # at most ``sample`` rows, a partition at a time
+        ids, shares = np.frombuffer(r["ids"], np.uint16), np.frombuffer(r["shares"], np.float32)
+        rows.append((r["_doc"], ids, shares, r["repeated"], int(r["_y"])))
+    rows.sort(key=lambda r: r[0])
+    return train([r[1:] for r in rows])
 
 
 def score(text: Column, model: Model) -> Column:
