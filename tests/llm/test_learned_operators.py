@@ -161,6 +161,23 @@ def test_spelled_out_words_are_read():
     assert {"loser", "idiot"} <= found
 
 
+@pytest.mark.parametrize("text", [
+    "you are a s t u p i d", "t h e s t u p i d l o s e r", "a.s.t.u.p.i.d", "t-h-e-s-t-u-p-1-d", "the=stupid", "t h e l o s e r i s " * 5 + "s t u p i d",
+    "t.h.e.l.o.s.e.r.i.s." * 5 + "s.t.u.p.i.d",
+])
+def test_words_end_inside_runs(text):
+    assert "stupid" in toxicity.restored_words(text, {}, LETTERS)
+
+
+def test_a_sign_before_a_word_may_be_a_bracket():
+    assert toxicity.restore("(the", LETTERS) == "the" and toxicity.restore("!diot", LETTERS) == "idiot"
+
+
+def test_runs_are_read_in_linear_time():
+    found = toxicity.restored_words("t h e l o s e r " * 3_000, {}, LETTERS)
+    assert {"the", "loser"} <= found
+
+
 def _brute_forward(seq, model):
     """The probability of a class sequence, summed over all state paths."""
     states = range(len(model.start))
