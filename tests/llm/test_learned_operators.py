@@ -178,6 +178,16 @@ def test_runs_are_read_in_linear_time():
     assert {"the", "loser"} <= found
 
 
+def test_all_trigrams_of_the_sample_count_once(spark):
+    signs = [chr(0x4E00 + i) for i in range(20_000)]
+    words = ["".join(signs[i : i + 3]) for i in range(0, 19_998, 1)]
+    docs = spark.createDataFrame([(1, " ".join(words), *"xxxxx"), (2, "ab ab", *"xxxxx"), (2, "ab ab", *"xxxxx")], DOCS)
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "doc_id int, toxic int")
+    found = toxicity.fit(docs, labels, held_out=9).trigrams
+    want = Counter(f"  {w} "[i : i + 3] for w in [*words, "ab", "ab"] for i in range(len(w) + 1))
+    assert len(want) > 50_000 and found == want
+
+
 def _brute_forward(seq, model):
     """The probability of a class sequence, summed over all state paths."""
     states = range(len(model.start))
