@@ -15,8 +15,8 @@ Method.
    table of counts has a row per word and never leaves Spark.
 3. Baum-Welch: tasks run the scaled forward and backward recursions over their chunks and
    send expected counts, a row per state and class; Spark adds them, and the driver, which
-   gets as many rows as the model has parameters, forms the next model. The first rounds
-   each see another part of the training texts, the last round sees all.
+   gets as many rows as the model has parameters, forms the next model. Every round sees all
+   training texts, so the model does not depend on how they lie in chunks and partitions.
 4. The counts of each dictionary's words come back to their chunk by a join, and the scaled
    forward recursion gives every text's exact probability.
 
@@ -145,65 +145,72 @@ def _batches(lengths: np.ndarray, tokens: int = 1 << 18) -> Iterator[np.ndarray]
         at += min(size, 1024)
 
 
-def forward(sequences: list[np.ndarray], model: Hidden) -> np.ndarray:
-    """Natural log of each class sequence's probability. Sequences: longest first."""
-    n, emit = len(sequences), np.ascontiguousarray(model.emit.T)
+def _grid(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Classes by position and sequence, and how many sequences reach each position."""
     lengths = np.array([len(s) for s in sequences])
-    grid = np.zeros((lengths[0], n), np.int32)
+    grid = np.zeros((lengths[0], len(sequences)), np.int32)
     for j, s in enumerate(sequences):
         grid[: len(s), j] = s
-    live = (lengths[None, :] > np.arange(lengths[0])[:, None]).sum(axis=1)
-    out = np.zeros(n)
-    alpha = model.start * emit[grid[0]]
-    for t in range(lengths[0]):
-        k = live[t]
+    return grid, (lengths[None, :] > np.arange(lengths[0])[:, None]).sum(axis=1)
+
+
+def _forward(
+    emit: np.ndarray, live: np.ndarray, model: Hidden, alphas: np.ndarray | None = None
+) -> np.ndarray:
+    """Scales of every position and sequence; the scaled probabilities of states go to ``alphas``."""
+    onward = np.ascontiguousarray(model.step.T)
+    scales = np.ones(emit.shape[1:])
+    # a row per state: numpy's loops then run over the sequences
+    alpha = model.start[:, None] * emit[:, 0]
+    for t, k in enumerate(live.tolist()):
         if t:
-            alpha = (alpha[:k] @ model.step) * emit[grid[t, :k]]
-        scale = alpha.sum(axis=1)
-        alpha /= scale[:, None]
-        out[:k] += np.log(scale)
-    return out
+            alpha = onward @ alpha[:, :k]
+            alpha *= emit[:, t, :k]
+        scale = scales[t, :k]
+        np.add.reduce(alpha, axis=0, out=scale)
+        alpha /= scale
+        if alphas is not None:
+            alphas[:, t, :k] = alpha
+    return scales
+
+
+def forward(sequences: list[np.ndarray], model: Hidden) -> np.ndarray:
+    """Natural log of each class sequence's probability. Sequences: longest first."""
+    grid, live = _grid(sequences)
+    return np.log(_forward(model.emit.take(grid, axis=1), live, model)).sum(axis=0)
 
 
 def expected(sequences: list[np.ndarray], model: Hidden, sums: Hidden) -> float:
     """Add the expected counts of class sequences to ``sums``; their log probability."""
-    n, emit = len(sequences), np.ascontiguousarray(model.emit.T)
-    lengths = np.array([len(s) for s in sequences])
-    steps, states = lengths[0], len(model.start)
-    grid = np.zeros((steps, n), np.int32)
-    for j, s in enumerate(sequences):
-        grid[: len(s), j] = s
-    live = (lengths[None, :] > np.arange(steps)[:, None]).sum(axis=1)
-    alphas, scales = np.zeros((steps, n, states)), np.ones((steps, n))
-    alpha = model.start * emit[grid[0]]
-    for t in range(steps):
-        k = live[t]
-        if t:
-            alpha = (alpha[:k] @ model.step) * emit[grid[t, :k]]
-        scale = alpha.sum(axis=1)
-        alpha /= scale[:, None]
-        alphas[t, :k], scales[t, :k] = alpha, scale
-    beta = np.ones((n, states))
-    moves = np.zeros((states, states))
-    for t in range(steps - 1, -1, -1):
-        k = live[t]
-        if t + 1 < steps:
-            j = live[t + 1]
-            back = emit[grid[t + 1, :j]] * beta[:j] / scales[t + 1, :j, None]
-            moves += alphas[t, :j].T @ back
-            beta[:j] = back @ model.step.T
-        alphas[t, :k] *= beta[:k]
-    sums.step += moves * model.step
-    sums.start += alphas[0].sum(axis=0)
+    grid, live = _grid(sequences)
+    (steps, n), states = grid.shape, len(model.start)
     used = np.arange(n)[None, :] < live[:, None]
-    flat, gamma = grid[used], alphas[used]
+    emit = model.emit.take(grid, axis=1)
+    emit *= used
+    alphas = np.zeros((states, steps, n))
+    scales = _forward(emit, live, model, alphas)
+    emit /= scales
+    # from here ``emit`` becomes emission times backward probability
+    beta = np.ones((states, n))
+    for t in range(steps - 1, 0, -1):
+        back = emit[:, t, : live[t]]
+        back *= beta[:, : live[t]]
+        beta[:, : live[t]] = model.step @ back
+    emit[:, 0] *= beta
+    sums.start += model.start * emit[:, 0].sum(axis=1)
+    flat = grid[used]
+    earlier, back = alphas[:, :-1].reshape(states, -1), emit[:, 1:].reshape(states, -1)
+    sums.step += (earlier @ back.T) * model.step
     for state in range(states):
-        sums.emit[state] += np.bincount(flat, weights=gamma[:, state], minlength=sums.emit.shape[1])
+        gamma = emit[state]
+        gamma[0] *= model.start[state]
+        gamma[1:] *= (model.step[:, state] @ earlier).reshape(steps - 1, n)
+        sums.emit[state] += np.bincount(flat, weights=gamma[used], minlength=sums.emit.shape[1])
     return float(np.log(scales).sum())
 
 
-def _round(chunks: DataFrame, model: Hidden, part: tuple[int, int] | None) -> Hidden:
-    """Expected counts over the training texts of all chunks, or of part (i, n) of the texts."""
+def _round(chunks: DataFrame, model: Hidden) -> Hidden:
+    """Expected counts over the training texts of all chunks."""
     states, classes = model.emit.shape
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,10 +220,7 @@ def _round(chunks: DataFrame, model: Hidden, part: tuple[int, int] | None) -> Hi
                 ids, kinds = unpack(row["ids"]), unpack(row["classes"])
                 lengths = np.frombuffer(row["lengths"], np.int64)
                 ends = np.cumsum(lengths)
-                chosen = np.frombuffer(row["held"], np.int8) == 0
-                if part:
-                    chosen = chosen & (np.arange(len(lengths)) % part[1] == part[0])
-                chosen = np.flatnonzero(chosen)
+                chosen = np.flatnonzero(np.frombuffer(row["held"], np.int8) == 0)
                 for group in _batches(lengths[chosen]):
                     texts = chosen[group]
                     expected([kinds[ids[ends[t] - lengths[t] : ends[t]]] for t in texts], model, sums)
@@ -242,12 +246,12 @@ def _normal(sums: Hidden) -> Hidden:
     return Hidden(rows(sums.start, 0.1), rows(sums.step, 0.1), rows(sums.emit, 0.01))
 
 
-def baum_welch(chunks: DataFrame, states: int, classes: int, parts: int = 8, warm_up: int = 5) -> Hidden:
-    """The trained model: ``warm_up`` rounds over one of ``parts`` parts each, then one over all."""
+def baum_welch(chunks: DataFrame, states: int, classes: int, rounds: int = 6) -> Hidden:
+    """The trained model, after ``rounds`` rounds over all training texts."""
     model = first_model(states, classes)
-    for k in range(warm_up):
-        model = _normal(_round(chunks, model, (k % parts, parts)))
-    return _normal(_round(chunks, model, None))
+    for _ in range(rounds):
+        model = _normal(_round(chunks, model))
+    return model
 
 
 def score_texts(

@@ -243,6 +243,36 @@ def test_language_model_scores(spark, corpus, chunk_tokens):
     assert sum(r["score"] for r in got) > sum(r["base_score"] for r in got)
 
 
+def test_language_model_does_not_depend_on_partitions(spark, corpus):
+    docs, _ = corpus
+    few = docs.where("doc_id < 60")
+    scored = [
+        by_id(hidden_markov.score_texts(few.repartition(n), states=3, classes=64, chunk_tokens=tokens))
+        for n, tokens in ((1, 1_000_000), (30, 1_000_000), (2, 1))
+    ]
+    for other in scored[1:]:
+        assert all(math.isclose(r["score"], other[i]["score"], rel_tol=1e-9) for i, r in scored[0].items())
+
+
+def test_every_round_sees_all_training_texts(spark, corpus):
+    docs, _ = corpus
+    some = docs.where("doc_id < 60").selectExpr("string(doc_id) AS key", "text", "doc_id % 7 = 2 AS held").coalesce(2)
+    chunks = hidden_markov.chunk_texts(some, 64, 200).cache()
+    seqs = []
+    for r in chunks.collect():
+        flat = hidden_markov.unpack(r["classes"])[hidden_markov.unpack(r["ids"])]
+        parts = np.split(flat, np.cumsum(np.frombuffer(r["lengths"], np.int64))[:-1])
+        seqs += [p for p, held in zip(parts, np.frombuffer(r["held"], np.int8)) if not held]
+    seqs.sort(key=len, reverse=True)
+    model = hidden_markov.first_model(3, 64)
+    for _ in range(4):
+        sums = hidden_markov.Hidden(np.zeros(3), np.zeros((3, 3)), np.zeros((3, 64)))
+        hidden_markov.expected(seqs, model, sums)
+        model = hidden_markov._normal(sums)
+    got = hidden_markov.baum_welch(chunks, 3, 64, rounds=4)
+    assert np.allclose(got.emit, model.emit) and np.allclose(got.step, model.step)
+
+
 def test_probabilities_of_words_sum_to_one():
     """One token after another: known words and one unknown word per class."""
     known = [b"the", b"other", b"", b"a"]
