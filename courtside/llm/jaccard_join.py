@@ -109,9 +109,8 @@ def runs_for(recall: float) -> int:
 
 def paths(shingles: np.ndarray, runs: int, threshold: float) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each level the parent paths and the paths that a set chooses."""
-    # sets of Jaccard similarity s share 2s / (1 + s) of the larger one
-    share = 2 * threshold / (1 + threshold)
-    rate = min(1.0, OVERSAMPLE / (share * max(1, len(shingles))))
+    # sets of Jaccard similarity s share at least s of the larger one: just s if it contains the other
+    rate = min(1.0, OVERSAMPLE / (threshold * max(1, len(shingles))))
     limit = np.uint64(min(rate * 2.0**64, 2.0**64 - 1025))
     parents = mix(np.arange(1, runs + 1, dtype=np.uint64) * _B)
     out = []

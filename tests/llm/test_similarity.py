@@ -139,6 +139,19 @@ def test_runs_reach_the_recall():
     assert kept == 60
 
 
+def test_contained_sets_share_what_the_recall_needs():
+    rng = np.random.default_rng(2)
+    runs = jaccard_join.runs_for(0.999)
+    kept = 0
+    for _ in range(60):
+        large = np.unique(rng.integers(0, 2**63, 200).astype(np.uint64))
+        deep = [set(jaccard_join.paths(s, runs, 0.8)[-1][1].tolist()) for s in (large, np.sort(rng.permutation(large)[:160]))]
+        kept += bool(deep[0] & deep[1])
+    assert kept == 60
+    first = [set(jaccard_join.paths(s, 20_000, 0.8)[0][1].tolist()) for s in (large, large[:160])]
+    assert len(first[0] & first[1]) / 20_000 > 0.97 * jaccard_join.OVERSAMPLE
+
+
 def test_sketch_estimates_similarity():
     rng = np.random.default_rng(1)
     both = rng.integers(0, 2**64, 8000, dtype=np.uint64)
