@@ -9,8 +9,8 @@ SQL cannot express the trained and hashed stages, so there is no SQL for the who
 compare each stage with a brute-force version.
 
 Defined results: null and empty texts are rejected by the quality stage; a document without
-an id stays in the filters by text and is never a duplicate; of rows that repeat an id, one
-stays.
+an id stays in the filters by text and is never a duplicate; of rows that repeat an id and a
+text, one stays; different texts of an id are documents of their own.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtside.llm import byte_bpe, decontamination, jaccard_join, language_id, quality
-from courtside.llm.staging import shared_folder
+from courtside.llm.staging import Shared, shared_folder
 
 #: A document stays if its quality is at least this, and if the certainty of its language is.
 LEAST_QUALITY, LEAST_CERTAINTY = 0.3, 0.4
@@ -40,11 +40,43 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return docs.where((predicted["lang_pred"] != "und") & (predicted["score"] >= LEAST_CERTAINTY))
 
 
+def keyed(spark: SparkSession, docs: DataFrame, key: str) -> DataFrame:
+    """``docs`` with a number of each different id and text: the id, or for further texts of an
+    id a number beyond all ids."""
+    shared = Shared(spark)
+    ids = docs.where("doc_id IS NOT NULL")
+    repeated = ids.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    repeated = shared.table(repeated.select(F.col("doc_id").alias("_id")))
+    digest = F.coalesce(F.sha2(F.col("text").cast("binary"), 256), F.lit(""))
+    texts = ids.select("doc_id", digest.alias("digest"))
+    texts = texts.join(repeated, F.col("doc_id") == F.col("_id"), "left_semi").distinct()
+    first = texts.groupBy("doc_id").agg(F.min("digest").alias("first"))
+    further = texts.join(first, "doc_id").where("digest <> first")
+    further = shared.table(further.select("doc_id", "digest", F.monotonically_increasing_id().alias("n")))
+    low, high = ids.agg(F.min("doc_id"), F.max("doc_id")).first()
+    span = further.agg(F.max("n")).first()[0]
+    if span is None:
+        return docs.withColumn(key, F.col("doc_id").cast("long"))
+    if high + span + 1 < 2**63:
+        number = F.lit(high + 1).cast("long") + F.col("n")
+    elif low - span - 1 >= -(2**63):
+        number = F.lit(low - 1).cast("long") - F.col("n")
+    else:
+        raise ValueError("ids leave no numbers for the texts that repeat an id")
+    marked = docs.withColumn(f"{key}_digest", digest)
+    named = further.select(F.col("doc_id").alias(f"{key}_id"), F.col("digest").alias(f"{key}_text"), number.alias(f"{key}_new"))
+    same = (marked["doc_id"] == named[f"{key}_id"]) & (marked[f"{key}_digest"] == named[f"{key}_text"])
+    found = marked.join(named, same, "left").withColumn(key, F.coalesce(F.col(f"{key}_new"), marked["doc_id"].cast("long")))
+    return found.drop(*[f"{key}_{x}" for x in ("id", "text", "new", "digest")])
+
+
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each class of similar texts."""
-    classes = jaccard_join.similar_texts(docs)
+    key = f"key_{uuid.uuid4().hex}"
+    numbered = keyed(spark, docs, key)
+    classes = jaccard_join.similar_texts(numbered.select(F.col(key).alias("doc_id"), "text"))
     first = classes.where(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(first, docs["doc_id"] == first["_id"], "left_semi").dropDuplicates(["doc_id"])
+    kept = numbered.join(first, numbered[key] == first["_id"], "left_semi").dropDuplicates([key]).drop(key)
     return kept.unionByName(docs.where("doc_id IS NULL"))
 
 

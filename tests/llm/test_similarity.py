@@ -152,6 +152,21 @@ def test_contained_sets_share_what_the_recall_needs():
     assert len(first[0] & first[1]) / 20_000 > 0.97 * jaccard_join.OVERSAMPLE
 
 
+@pytest.mark.parametrize("shift", [0, 2**63 - 1 - 9])
+def test_texts_of_a_repeated_id_are_documents(spark, shift):
+    from pyspark.sql import functions as F
+
+    import corpus_pipeline as pipeline
+
+    copied, alone, other, third = ("a b c d e f g h", "q r s t u v w x", "one two three four five six", "red green blue")
+    texts = [(1, copied), (5, copied), (5, alone), (5, alone), (7, other), (7, third), (9, None), (None, copied)]
+    rows = [(None if i is None else i + shift, t, *"xxx") for i, t in texts]
+    kept = pipeline.one_of_each(spark, spark.createDataFrame(rows, DOCS).withColumn("_id", F.lit(3)), "").collect()
+    got = sorted((str(r["text"]), r["doc_id"] and r["doc_id"] - shift) for r in kept if r["doc_id"] is not None)
+    assert [t for t, _ in got] == sorted([str(None), copied, alone, other, third])
+    assert dict(got)[alone] == 5 and {dict(got)[other], dict(got)[third]} == {7} and len(kept) == 6
+
+
 def test_sketch_estimates_similarity():
     rng = np.random.default_rng(1)
     both = rng.integers(0, 2**64, 8000, dtype=np.uint64)
