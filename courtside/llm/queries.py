@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.llm import byte_bpe, chat, decontamination, embedding_dedup, hidden_markov, jaccard_join, language_id, quality, token_counts, toxicity
+from courtside.llm import (
+    byte_bpe,
+    chat,
+    decontamination,
+    embedding_dedup,
+    hidden_markov,
+    importance,
+    jaccard_join,
+    language_id,
+    quality,
+    token_counts,
+    toxicity,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +94,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weight of every document towards the benchmark, and the rank of those drawn."""
+    return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_token_counts": op2_token_counts,
@@ -93,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_language_model": op9_language_model,
     "op10_decontamination": op10_decontamination,
+    "op11_importance": op11_importance,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -157,4 +175,49 @@ ORACLE_SQL: dict[str, str] = {
         LEFT JOIN (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
                    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id) USING (doc_id)
     """,
+    "op11_importance": """
+        WITH said AS (
+            SELECT 0 AS part, row_number() OVER () AS row, doc_id, text FROM documents
+            UNION ALL SELECT 1, row_number() OVER (), NULL, text FROM benchmark
+        ), words AS (
+            SELECT part, row, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS word
+            FROM said
+        ), steps AS MATERIALIZED (
+            SELECT list(list_reduce(list_concat([n::UBIGINT], range(8)::UBIGINT[]), lambda c, i:
+                CASE WHEN c & 1 = 1 THEN xor(3988292384::UBIGINT, c >> 1) ELSE c >> 1 END) ORDER BY n) AS step
+            FROM range(256) t(n)
+        ), bytes AS (
+            SELECT word, list_transform(range(1, 2 * octet_length(encode(word)), 2),
+                lambda i: ('0x' || substr(hex(encode(word)), i, 2))::UBIGINT) AS bytes
+            FROM (SELECT DISTINCT word FROM words)
+        ), buckets AS MATERIALIZED (
+            SELECT word, xor(4294967295::UBIGINT, list_reduce(list_concat([4294967295::UBIGINT], bytes),
+                lambda c, b: xor(step[(xor(c, b) & 255)::BIGINT + 1], c >> 8))) % 10000 AS bucket
+            FROM bytes, steps
+        ), found AS MATERIALIZED (
+            SELECT part, row, bucket FROM words JOIN buckets USING (word)
+        ), sums AS (
+            SELECT bucket, count(*) FILTER (part = 0) AS s, count(*) FILTER (part = 1) AS t FROM found GROUP BY bucket
+        ), gains AS (
+            SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE
+                / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain
+            FROM sums
+        ), weighed AS (
+            SELECT row, count(*) AS n, floor(sum(gain) / count(*))::BIGINT AS weight
+            FROM found JOIN gains USING (bucket) WHERE part = 0 GROUP BY row
+        ), scored AS (
+            SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+                coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT
+                    + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+            FROM said LEFT JOIN weighed USING (row) WHERE part = 0
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+                count(*) OVER (PARTITION BY n_features >= 20) AS n
+            FROM scored
+        )
+        SELECT doc_id, n_features, weight, score,
+            CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank
+        FROM placed
+    """,
 }
