@@ -7,10 +7,14 @@ Method. Each run starts one path; a path is continued by tokens (shingles) of th
 hash of path and token samples, at a rate inverse to the size of the set, so that two similar
 sets expect to sample a shared token. Sets that chose the same path meet in its bucket.
 Buckets of at most ``bucket`` sets are compared by brute force; the sets of larger buckets
-split further along their next sampled tokens, up to ``LEVELS`` tokens, and what is still too
-large there is compared in all its tiles, so no case is left out. A large bucket that is one
-candidate group already needs no more of it. Runs repeat until the
-chance to have missed a pair of similarity 0.8 is below one minus ``recall`` (``runs_for``).
+split further along their next sampled tokens, to any depth. From the second token on, tokens
+are sampled from the set's sketch, the smallest shingle of each of 128 bins, which travels
+with the set. A bucket of at most ``room`` sets splits within its task; only the members of
+larger buckets are shuffled to the paths that they choose next. Where ``DEPTH`` tokens do not
+make a bucket small, it is compared as it is, in tiles of bounded size, so no case is left
+out. Sets that are all possible with one of them are one candidate group and need no more of
+their bucket. Runs repeat until the chance to have missed a pair of similarity 0.8 is below
+one minus ``recall`` (``runs_for``).
 
 In buckets, sets are compared by size and by 128 one-byte minima of their hashes (a pair of
 similarity 0.8 passes but for a chance below 1e-5). What passes forms candidate groups; then
@@ -43,9 +47,12 @@ from courtside.llm.staging import Shared
 
 _WORD = re.compile(r"\w+")
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-BINS, LEVELS = 128, 3
+BINS, DEPTH = 128, 16
 #: Children that a path of one set expects, over what two sets of the threshold need to share one.
 OVERSAMPLE = 1.5
+#: Least share of its bins in which a set of the threshold agrees with another (2.8 deviations below the mean).
+AGREEING = 0.7
+_BIN = np.arange(1, BINS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -94,7 +101,7 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def survival(levels: int) -> float:
+def survival(levels: int = 64) -> float:
     """The least chance that one run keeps two sets of the threshold together for ``levels``."""
     p = 1.0
     for _ in range(levels):
@@ -103,38 +110,44 @@ def survival(levels: int) -> float:
 
 
 def runs_for(recall: float) -> int:
-    """Runs after which a pair of the threshold is missed with a chance of at most 1 - recall."""
-    return math.ceil(math.log(1 - recall) / math.log(1 - survival(LEVELS)))
+    """Runs after which a pair of the threshold is missed with a chance of at most 1 - recall,
+    however deep its buckets split."""
+    return math.ceil(math.log(1 - recall) / math.log(1 - survival()))
 
 
-def paths(shingles: np.ndarray, runs: int, threshold: float) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each level the parent paths and the paths that a set chooses."""
+def _limit(rate: np.ndarray | float) -> np.ndarray:
+    """The largest hash that is sampled at a rate."""
+    return np.minimum(np.asarray(rate) * 2.0**64, 2.0**64 - 1025).astype(np.uint64)
+
+
+def first_paths(shingles: np.ndarray, runs: int, threshold: float) -> np.ndarray:
+    """The paths of one token that a set chooses."""
     # sets of Jaccard similarity s share at least s of the larger one: just s if it contains the other
-    rate = min(1.0, OVERSAMPLE / (threshold * max(1, len(shingles))))
-    limit = np.uint64(min(rate * 2.0**64, 2.0**64 - 1025))
+    limit = _limit(min(1.0, OVERSAMPLE / (threshold * max(1, len(shingles)))))
     parents = mix(np.arange(1, runs + 1, dtype=np.uint64) * _B)
-    out = []
-    for _ in range(LEVELS):
-        level: list[tuple[np.ndarray, np.ndarray]] = []
-        step = max(1, (1 << 20) // max(1, len(shingles)))
-        for at in range(0, len(parents), step):
-            some = parents[at : at + step]
-            # shingles and paths are scrambled already: one odd multiplication pairs them
-            i, j = np.nonzero((shingles[None, :] ^ some[:, None]) * _A <= limit)
-            level.append((some[i], mix(mix(shingles[j] + some[i]) ^ some[i])))
-        out.append(tuple(np.concatenate(x) for x in zip(*level)) if level else (parents[:0], parents[:0]))
-        parents = out[-1][1]
-    return out
+    # shingles and paths are scrambled already: one odd multiplication pairs them
+    i, j = np.nonzero((shingles[None, :] ^ parents[:, None]) * _A <= limit)
+    return mix(mix(shingles[j] + parents[i]) ^ parents[i])
+
+
+def sampling(sketches: np.ndarray) -> np.ndarray:
+    """Per sketch the largest hash of a bin that a path samples."""
+    used = np.maximum(1, np.count_nonzero(sketches, axis=1))
+    return _limit(np.minimum(1.0, OVERSAMPLE / (AGREEING * used)))
+
+
+def next_paths(paths: np.ndarray, sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers, and the path that the row's set chooses next. Rows: a path and a sketch."""
+    hashes = mix(paths[:, None] ^ _BIN[None, :])
+    i, b = np.nonzero((hashes <= sampling(sketches)[:, None]) & (sketches > 0))
+    return i, mix(hashes[i, b] + sketches[i, b].astype(np.uint64))
 
 
 def _signed(values: list[int] | np.ndarray) -> np.ndarray:
     return np.asarray(values, np.uint64).view(np.int64)
 
 
-SETS = (
-    "node bigint, key_high bigint, key_low bigint, n bigint, sketch binary, first array<bigint>, "
-    + ", ".join(f"from{k} array<bigint>, to{k} array<bigint>" for k in range(2, LEVELS + 1))
-)
+SETS = "node bigint, key_high bigint, key_low bigint, n bigint, sketch binary, first array<bigint>"
 
 
 def _describe(docs: DataFrame, runs: int, threshold: float, width: int) -> DataFrame:
@@ -145,19 +158,16 @@ def _describe(docs: DataFrame, runs: int, threshold: float, width: int) -> DataF
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                columns: list[list] = [[] for _ in range(6 + 2 * (LEVELS - 1))]
+                columns: list[list] = [[] for _ in range(6)]
                 for node, text in zip(part.column(0).to_pylist(), part.column(1)):
                     s = shingler.shingles(text.as_py())
                     with np.errstate(over="ignore"):
                         high, low = mix(s).sum(), np.bitwise_xor.reduce(mix(s + _A)) + s.sum() * _B
-                        levels = paths(s, runs, threshold)
-                    row = [node, *_signed([int(high), int(low)]).tolist(), len(s), sketch(s).tobytes()]
-                    row.append(_signed(levels[0][1]))
-                    for parents, chosen in levels[1:]:
-                        row += [_signed(parents), _signed(chosen)]
+                        chosen = first_paths(s, runs, threshold)
+                    row = [node, *_signed([int(high), int(low)]).tolist(), len(s), sketch(s).tobytes(), _signed(chosen)]
                     for column, value in zip(columns, row):
                         column.append(value)
-                kinds = [pa.int64()] * 4 + [pa.binary()] + [pa.list_(pa.int64())] * (len(columns) - 5)
+                kinds = [pa.int64()] * 4 + [pa.binary(), pa.list_(pa.int64())]
                 names = [f.split()[0] for f in SETS.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
@@ -172,31 +182,76 @@ def _possible(n1: np.ndarray, n2: np.ndarray, s1: np.ndarray, s2: np.ndarray, th
     return (np.minimum(n1, n2) >= threshold * np.maximum(n1, n2) - 1e-9) & (same >= least)
 
 
-def _bucket_links(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    """Chains through the possible pairs of buckets."""
+def split_links(
+    path: int, n: np.ndarray, sketches: np.ndarray, bucket: int, threshold: float
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Candidate links (row numbers) of one bucket, which splits along sampled tokens of its
+    sketches until its parts are small or one candidate group."""
+    limits = sampling(sketches)
+
+    def linked(row: int, rows: np.ndarray) -> np.ndarray:
+        return _possible(n[row], n[rows], sketches[row], sketches[rows], threshold)
+
+    pending = [(np.arange(len(n)), np.uint64(path), 0)]
+    while pending:
+        rows, path, depth = pending.pop()
+        near = linked(rows[0], rows[1:])
+        yield np.full(int(near.sum()), rows[0]), rows[1:][near]
+        others = rows[1:][~near]
+        if len(others) <= bucket or depth == DEPTH:
+            # what is not possible with the first one meets all: nothing is left after that
+            for k, row in enumerate(others):
+                met = np.concatenate([rows[1:][near], others[k + 1 :]])
+                met = met[linked(row, met)]
+                yield np.full(len(met), row), met
+            continue
+        hashes = mix(path ^ _BIN)
+        for b in np.flatnonzero(hashes <= limits[rows].max()):
+            chosen = rows[(limits[rows] >= hashes[b]) & (sketches[rows, b] > 0)]
+            values = sketches[chosen, b]
+            order = np.argsort(values, kind="stable")
+            chosen, values = chosen[order], values[order]
+            starts = np.flatnonzero(np.diff(values, prepend=np.uint8(0)))
+            onward = mix(hashes[b] + values[starts].astype(np.uint64))
+            for part, path in zip(np.split(chosen, starts[1:]), onward):
+                if len(part) > 1:
+                    pending.append((part, path, depth + 1))
+
+
+def _bucket_links(batches: Iterator[pa.RecordBatch], bucket: int, threshold: float) -> Iterator[pa.RecordBatch]:
+    """Chains through the possible pairs of buckets, and of blocks of what does not split."""
     for table in whole_groups(batches, ["path", "low", "high"]):
         keys = np.column_stack([table.column(k).to_numpy() for k in ("path", "low", "high")])
-        nodes, n = table.column("node").to_numpy(), table.column("n").to_numpy()
+        nodes, n, block = (table.column(k).to_numpy() for k in ("node", "n", "block"))
         sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, BINS)
         starts = np.concatenate([[0], np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1])
         sizes = np.diff(starts, append=len(nodes))
+        tiled = keys[starts, 2] > 0
         found: list[tuple[np.ndarray, np.ndarray]] = []
-        for size in np.unique(sizes[sizes <= 32]):
+        few = (sizes <= 32) & ~tiled
+        for size in np.unique(sizes[few]):
             i, j = np.triu_indices(size, 1)
             if not len(i):
                 continue
-            groups = starts[sizes == size]
+            groups = starts[few & (sizes == size)]
             step = max(1, 100_000 // len(i))
             for at in range(0, len(groups), step):
                 base = groups[at : at + step, None]
                 a, b = (base + i).ravel(), (base + j).ravel()
                 ok = _possible(n[a], n[b], sketches[a], sketches[b], threshold)
                 found.append((a[ok], b[ok]))
-        for start, size in zip(starts[sizes > 32], sizes[sizes > 32]):
+        for start, size in zip(starts[~few & ~tiled], sizes[~few & ~tiled]):
+            own = slice(start, start + size)
+            path = int(np.int64(keys[start, 0]).view(np.uint64))
+            with np.errstate(over="ignore"):
+                found += [(a + start, b + start) for a, b in split_links(path, n[own], sketches[own], bucket, threshold)]
+        for start, size in zip(starts[tiled], sizes[tiled]):
             end = start + size
+            inner = keys[start, 1] == keys[start, 2]
             for a in range(start, end - 1):
-                rest = slice(a + 1, end)
-                b = np.flatnonzero(_possible(n[a], n[rest], sketches[a], sketches[rest], threshold)) + a + 1
+                rest = np.arange(a + 1, end)
+                rest = rest if inner else rest[block[rest] != block[a]]
+                b = rest[_possible(n[a], n[rest], sketches[a], sketches[rest], threshold)]
                 found.append((np.full(len(b), a), b))
         if found:
             a, b = (np.concatenate(x) for x in zip(*found))
@@ -299,32 +354,46 @@ def _pivot_links(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterato
         yield pa.RecordBatch.from_arrays([pa.array(node[ok]), pa.array(pivot[ok])], ["a", "b"])
 
 
-def _compared(buckets: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
-    """Candidate links (a, b) of buckets (path, low, high, node), by brute force."""
+def _children(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The next paths of sets (node, path, sketch)."""
+    for batch in batches:
+        sketches = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, BINS)
+        paths = batch.column("path").to_numpy().view(np.uint64)
+        for at in range(0, len(paths), 4096):
+            with np.errstate(over="ignore"):
+                i, chosen = next_paths(paths[at : at + 4096], sketches[at : at + 4096])
+            node = batch.column("node").to_numpy()[at + i]
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(chosen.view(np.int64))], ["node", "path"])
+
+
+def _compared(buckets: DataFrame, sketches: DataFrame, bucket: int, threshold: float) -> DataFrame:
+    """Candidate links (a, b) of buckets (path, block, low, high, node)."""
     keys = ["path", "low", "high"]
     met = buckets.join(sketches, "node").repartition(*keys).sortWithinPartitions(*keys)
-    return met.mapInArrow(lambda batches: _bucket_links(batches, threshold), "a bigint, b bigint")
+    return met.mapInArrow(lambda batches: _bucket_links(batches, bucket, threshold), "a bigint, b bigint")
 
 
-def _candidates(sets: DataFrame, bucket: int, block: int, threshold: float, shared: Shared) -> DataFrame:
+def _candidates(
+    sets: DataFrame, bucket: int, room: int, block: int, threshold: float, shared: Shared, depth: int = DEPTH
+) -> DataFrame:
     """Candidate links (a, b) from all runs.
 
-    Members of a large bucket are first compared with one of them. A bucket whose members
-    are all in one candidate group by then can add nothing and is left; so a large group of
-    near copies, which no further token would split, is not carried from level to level.
+    The members of a bucket beyond ``room`` are first compared with one of them. A bucket
+    whose members are all in one candidate group by then can add nothing and is left; so a
+    large group of near copies, which no further token would split, is not carried on.
     """
     sketches = sets.select("node", "n", "sketch")
-    zero = F.lit(0).cast("long")
+    none = [F.lit(0).cast("long").alias(k) for k in ("block", "low", "high")]
     nodes = sets.select("node", F.explode("first").alias("path"))
     links, groups = [], None
-    for level in range(1, LEVELS + 1):
+    for level in range(1, depth + 1):
         sizes = nodes.groupBy("path").agg(F.count("*").alias("size")).where("size > 1")
         met = shared.table(nodes.join(sizes, "path"))
-        small = met.where(F.col("size") <= bucket)
-        found = _compared(small.select("path", zero.alias("low"), zero.alias("high"), "node"), sketches, threshold)
+        found = _compared(met.where(F.col("size") <= room).select("path", *none, "node"), sketches, bucket, threshold)
         links.append(shared.table(found))
-        large = met.where(F.col("size") > bucket)
+        large = met.where(F.col("size") > room)
         if large.isEmpty():
+            shared.drop(met)
             break
         if groups is None:
             pivots = large.groupBy("path").agg(F.min("node").alias("pivot"))
@@ -338,15 +407,15 @@ def _candidates(sets: DataFrame, bucket: int, block: int, threshold: float, shar
         grouped = large.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
         mixed = grouped.groupBy("path").agg(F.min("group").alias("one"), F.max("group").alias("other"))
         large = shared.table(large.join(mixed.where("one <> other"), "path", "left_semi"))
-        if level == LEVELS:
+        shared.drop(met)
+        if level == depth:
             tiled = _tiles(large.withColumn("blocks", F.ceil(F.col("size") / block)), "blocks", "path")
-            links.append(_compared(tiled.select("path", "low", "high", "node"), sketches, threshold))
+            # blocks from 1 on: bucket 0, 0 is one that splits in its task
+            apart = [F.col("block") + 1, F.col("low") + 1, F.col("high") + 1]
+            tiled = tiled.select("path", *(c.alias(k) for c, k in zip(apart, ("block", "low", "high"))), "node")
+            links.append(shared.table(_compared(tiled, sketches, bucket, threshold)))
             break
-        children = sets.select("node", F.explode(F.arrays_zip(f"from{level + 1}", f"to{level + 1}")).alias("_c"))
-        children = children.select("node", F.col(f"_c.from{level + 1}").alias("path"), F.col(f"_c.to{level + 1}").alias("to"))
-        nodes = children.join(large.select("node", "path"), ["node", "path"], "left_semi").select(
-            "node", F.col("to").alias("path")
-        )
+        nodes = large.join(sketches, "node").select("node", "path", "sketch").mapInArrow(_children, "node bigint, path bigint")
     return reduce(DataFrame.unionByName, links)
 
 
@@ -358,6 +427,7 @@ def similar_texts(
     width: int = 5,
     recall: float = 0.9995,
     bucket: int = 100,
+    room: int = 1 << 16,
     block: int = 1024,
     block_shingles: int = 1 << 20,
 ) -> DataFrame:
@@ -372,7 +442,7 @@ def similar_texts(
     # one row per different set: the row of the class's smallest id
     sets = worded.join(classes.select(*key, "node"), [*key, "node"], "left_semi").dropDuplicates([*key])
     sets = shared.table(sets)
-    candidates = _candidates(sets, bucket, block, threshold, shared)
+    candidates = _candidates(sets, bucket, room, block, threshold, shared)
     groups = shared.table(connected_components(candidates, shared))
     sizes = groups.join(sets.select("node", "n"), "node").groupBy("component").agg(
         F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("n") / block_shingles)).alias("blocks")

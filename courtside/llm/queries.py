@@ -12,12 +12,14 @@ from courtside.llm import (
     byte_bpe,
     chat,
     decontamination,
+    divergence,
     embedding_dedup,
     hidden_markov,
     importance,
     jaccard_join,
     language_id,
     quality,
+    secret_scan,
     token_counts,
     toxicity,
 )
@@ -99,6 +101,16 @@ def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the sources of each language differ from each other and from their language."""
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: by patterns and by randomness."""
+    return secret_scan.digests(secret_scan.scan(_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_token_counts": op2_token_counts,
@@ -111,6 +123,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_model": op9_language_model,
     "op10_decontamination": op10_decontamination,
     "op11_importance": op11_importance,
+    "op12_divergence": op12_divergence,
+    "op13_secrets": op13_secrets,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -220,4 +234,43 @@ ORACLE_SQL: dict[str, str] = {
             CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank
         FROM placed
     """,
+    "op12_divergence": """
+        WITH docs AS (
+            SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                    'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+            FROM documents
+        ), said AS MATERIALIZED (
+            SELECT row, lang, source, unnest(terms) AS term FROM docs
+        ), kept AS (
+            SELECT lang, term FROM said GROUP BY ALL HAVING count(DISTINCT row) >= 10
+        ), vocabulary AS (
+            SELECT lang, count(*) AS v FROM kept GROUP BY lang
+        ), times AS (
+            SELECT lang, source, term, count(*) AS n FROM said JOIN kept USING (lang, term) GROUP BY ALL
+        ), groups AS (
+            SELECT DISTINCT lang, source FROM docs
+        ), shares AS MATERIALIZED (
+            SELECT lang, source, term, coalesce(n, 0) AS n, 1 + 1000000000 * (coalesce(n, 0) + 2)
+                // ((sum(coalesce(n, 0)) OVER (PARTITION BY lang, source))::BIGINT + 2 * v) AS p
+            FROM groups JOIN kept USING (lang) JOIN vocabulary USING (lang) LEFT JOIN times USING (lang, source, term)
+        ), own AS (
+            SELECT lang, term, 1 + 1000000000 * (n + 2) // ((sum(n) OVER (PARTITION BY lang))::BIGINT + 2 * v) AS q
+            FROM (SELECT lang, term, sum(n)::BIGINT AS n FROM times GROUP BY ALL) JOIN vocabulary USING (lang)
+        ), pairs AS (
+            SELECT a.lang, a.source, b.source AS item,
+                coalesce((SELECT sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) FROM shares x JOIN shares y
+                    ON x.lang = y.lang AND x.term = y.term
+                    WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0)::BIGINT AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+        ), favoured AS (
+            SELECT lang, source, term AS item, (p - q) * (p - q) // (p + q) AS value,
+                row_number() OVER (PARTITION BY lang, source ORDER BY (p - q) * (p - q) // (p + q) DESC, term) AS rank
+            FROM shares JOIN own USING (lang, term) WHERE n > 0 AND p > q
+        )
+        SELECT lang, source, 'pair' AS part, item, value,
+            (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INTEGER AS rank FROM pairs
+        UNION ALL
+        SELECT lang, source, 'term', item, value, rank::INTEGER FROM favoured WHERE rank <= 10
+    """,
 }

@@ -107,7 +107,7 @@ def brute_links(rows):
     return [(i, j) for k, (i, a) in enumerate(sets) for j, b in sets[k + 1 :] if a and b and len(a & b) >= 0.8 * len(a | b) - 1e-9]
 
 
-@pytest.mark.parametrize("limits", [{}, {"bucket": 3, "block": 4}, {"block_shingles": 100}])
+@pytest.mark.parametrize("limits", [{}, {"bucket": 3, "room": 4, "block": 4}, {"bucket": 3}, {"block_shingles": 100}])
 def test_texts_equal_brute_force(spark, limits):
     rows = near_texts()
     df = spark.createDataFrame([(i, t, "x", "x", "x") for i, t in [*rows, (None, "one two")]], DOCS)
@@ -126,16 +126,23 @@ def test_rows_that_repeat_an_id(spark):
     assert jaccard_join.similar_texts(spark.createDataFrame([], DOCS)).collect() == []
 
 
+def deep_paths(shingles, runs, levels=6):
+    """The paths of a set after so many tokens."""
+    paths, own = jaccard_join.first_paths(shingles, runs, 0.8), jaccard_join.sketch(shingles)[None, :]
+    for _ in range(levels - 1):
+        paths = jaccard_join.next_paths(paths, np.repeat(own, len(paths), axis=0))[1]
+    return set(paths.tolist())
+
+
 def test_runs_reach_the_recall():
     runs = jaccard_join.runs_for(0.999)
-    assert (1 - jaccard_join.survival(jaccard_join.LEVELS)) ** runs <= 0.001
+    assert (1 - jaccard_join.survival()) ** runs <= 0.001
     rng = np.random.default_rng(1)
     kept = 0
     for _ in range(60):
         both = rng.integers(0, 2**63, 160).astype(np.uint64)
         a, b = (np.unique(np.concatenate([both, rng.integers(0, 2**63, 20).astype(np.uint64)])) for _ in range(2))
-        deep = [set(jaccard_join.paths(s, runs, 0.8)[-1][1].tolist()) for s in (a, b)]
-        kept += bool(deep[0] & deep[1])
+        kept += bool(deep_paths(a, runs) & deep_paths(b, runs))
     assert kept == 60
 
 
@@ -145,10 +152,9 @@ def test_contained_sets_share_what_the_recall_needs():
     kept = 0
     for _ in range(60):
         large = np.unique(rng.integers(0, 2**63, 200).astype(np.uint64))
-        deep = [set(jaccard_join.paths(s, runs, 0.8)[-1][1].tolist()) for s in (large, np.sort(rng.permutation(large)[:160]))]
-        kept += bool(deep[0] & deep[1])
+        kept += bool(deep_paths(large, runs) & deep_paths(np.sort(rng.permutation(large)[:160]), runs))
     assert kept == 60
-    first = [set(jaccard_join.paths(s, 20_000, 0.8)[0][1].tolist()) for s in (large, large[:160])]
+    first = [set(jaccard_join.first_paths(s, 20_000, 0.8).tolist()) for s in (large, large[:160])]
     assert len(first[0] & first[1]) / 20_000 > 0.97 * jaccard_join.OVERSAMPLE
 
 
@@ -167,6 +173,42 @@ def test_texts_of_a_repeated_id_are_documents(spark, shift):
     assert dict(got)[alone] == 5 and {dict(got)[other], dict(got)[third]} == {7} and len(kept) == 6
 
 
+def sketches_that_share(rng, rows, share):
+    """Sketches of sets that have a passage in common and are otherwise different."""
+    out = rng.integers(1, 256, (rows, jaccard_join.BINS)).astype(np.uint8)
+    out[:, : int(share * jaccard_join.BINS)] = 7
+    return out
+
+
+@pytest.mark.parametrize("share", [0.3, 0.45])
+def test_a_shared_passage_splits_in_proportion(monkeypatch, share):
+    """Members compared grow with the bucket, not with its square, and no near copy is missed."""
+    rng = np.random.default_rng(4)
+    seen = []
+    real = jaccard_join._possible
+    monkeypatch.setattr(jaccard_join, "_possible", lambda *a: seen.append(len(a[1])) or real(*a))
+    work = []
+    for rows in (1500, 6000):
+        own = sketches_that_share(rng, rows, share)
+        own[rows // 2 :: 50] = own[: len(own[rows // 2 :: 50])]  # near copies: a few bins differ
+        own[rows // 2 :: 50, 100:110] = 9
+        n = np.full(rows, 400)
+        seen.clear()
+        runs = [np.concatenate(x) for x in zip(*(p for path in range(12) for p in jaccard_join.split_links(path + 99, n, own, 100, 0.8)))]
+        work.append(sum(seen))
+        copies = {(k, rows // 2 + 50 * k) for k in range(len(own[rows // 2 :: 50]))}
+        assert copies <= {(min(a, b), max(a, b)) for a, b in zip(*(x.tolist() for x in runs))}
+    assert work[1] < 8 * work[0]
+
+
+def test_near_copies_are_one_candidate_group_at_once(monkeypatch):
+    rng = np.random.default_rng(5)
+    own = np.repeat(rng.integers(1, 256, (1, jaccard_join.BINS)).astype(np.uint8), 5000, axis=0)
+    own[np.arange(5000), rng.integers(0, 128, 5000)] = 1
+    found = list(jaccard_join.split_links(3, np.full(5000, 300), own, 100, 0.8))
+    assert sum(len(a) for a, _ in found) == 4999 and len(found) == 1
+
+
 def test_sketch_estimates_similarity():
     rng = np.random.default_rng(1)
     both = rng.integers(0, 2**64, 8000, dtype=np.uint64)
