@@ -39,6 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -137,8 +138,8 @@ def _shard_sums(key: tuple, table: pa.Table) -> pa.Table:
     ``table``: per source a row without digest and with the share of a term it does not use,
     and a row per term and source that uses it.
     """
-    heads = table.filter(pa.compute.is_null(table.column("digest")))
-    used = table.filter(pa.compute.is_valid(table.column("digest")))
+    heads = table.filter(pc.is_null(table.column("digest")))
+    used = table.filter(pc.is_valid(table.column("digest")))
     size = heads.num_rows
     floor = np.zeros(size, np.int64)
     floor[heads.column("idx").to_numpy()] = heads.column("p").to_numpy()
