@@ -10,19 +10,21 @@ Document frequencies are counted over all documents that may be learned from, in
 weights are fitted on at most ``sample`` of them (ids that hash lowest), whole texts. Only
 text and non-null languages of documents outside the held-out fold are used.
 
-Defined results: a text that is null or has no letter gets ``und`` and score 0; with no
-document to learn from, every text gets ``und`` and score 0; ties go to the language that
-sorts first; repeated documents give repeated rows; further columns are not read.
+Defined results: a text that is null or has no letter (of Unicode; numerals are none) gets
+``und`` and score 0; with no document to learn from, every text gets ``und`` and score 0; ties
+go to the language that sorts first; repeated documents give repeated rows; of an id with
+several texts the smallest may be in the sample, however the rows lie; texts of any length
+are read whole, a word at a time; further columns are not read.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +32,7 @@ from courtside.llm.ngrams import HashedNgrams
 from courtside.llm.staging import fold, sample_rows
 
 ORDERS, BITS = (2, 3, 4), 15
-_NO_LETTERS = re.compile(r"[\W\d_]+")
+_NO_LETTERS = regex.compile(r"\P{L}+")
 #: Brings relative frequencies, which are small, to the order of 1.
 _SCALE = 100.0
 

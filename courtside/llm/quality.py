@@ -11,8 +11,9 @@ the fold of their id, are never used. Scoring covers all documents, without a sh
 
 Defined results: null, empty and white-space-only texts score 0; without any label every
 other text scores the mean of no training, 0.5; a label row without a document, or with a
-null label, is not used; several labels of one id count as the smallest; repeated documents
-give repeated rows; further columns are not read.
+null label, is not used; several labels of one id count as the smallest, and of its texts the
+smallest is learned from; repeated documents give repeated rows; texts of any length are read
+whole, a word at a time; further columns are not read.
 """
 
 from __future__ import annotations
@@ -113,7 +114,9 @@ def fit(
     marked = sample_rows(marked, "_id", sample)
     texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).cast("string").alias("_text"))
     # at most ``sample`` rows are broadcast
-    found = texts.join(F.broadcast(marked), F.col("_doc") == F.col("_id")).dropDuplicates(["_doc"])
+    found = texts.join(F.broadcast(marked), F.col("_doc") == F.col("_id"))
+    # one row per id, the same however the rows lie
+    found = found.groupBy("_doc").agg(F.min("_text").alias("_text"), F.min("_y").alias("_y"))
     packed = found.select("_doc", "_y", _packed(F.col("_text")).alias("_f")).select("_doc", "_y", "_f.*")
     rows = []
     for r in packed.toLocalIterator():  # at most ``sample`` rows, a partition at a time

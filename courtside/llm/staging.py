@@ -61,9 +61,13 @@ def fold(key: Column, n: int) -> Column:
 def sample_rows(df: DataFrame, key: str, bound: int) -> DataFrame:
     """At most ``bound`` rows of ``df``, the ones whose keys hash lowest.
 
-    Only keys are sorted; the chosen keys, at most ``bound``, are then broadcast. Rows that
-    repeat a key come together, one of each.
+    Only keys are sorted; the chosen keys, at most ``bound``, are then broadcast. Of rows that
+    repeat a key the smallest, by the other columns in order, is chosen.
     """
     keys = df.select(F.col(key).alias("_key")).where(F.col("_key").isNotNull()).distinct()
     keys = keys.orderBy(F.xxhash64("_key"), "_key").limit(bound)
-    return df.join(F.broadcast(keys), F.col(key) == F.col("_key"), "left_semi").dropDuplicates([key])
+    chosen = df.join(F.broadcast(keys), F.col(key) == F.col("_key"), "left_semi")
+    others = [c for c in df.columns if c != key]
+    if not others:
+        return chosen.distinct()
+    return chosen.groupBy(key).agg(F.min(F.struct(*others)).alias("_least")).select(key, "_least.*")
