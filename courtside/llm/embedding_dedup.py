@@ -33,6 +33,11 @@ from courtside.llm.staging import Shared
 _TILE = 2048
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Rows times powers of two, with a largest component between 1/2 and 1, so that no square over- or underflows."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1))[1][:, None])
+
+
 def quantise(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Int8 vectors, their scales, and the lengths of the rounding errors, for unit rows."""
     scale = np.abs(unit).max(axis=1) / 127
@@ -76,6 +81,7 @@ def _links(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.R
             order = np.lexsort((ids, block))
             x = group.column("vector").flatten().to_numpy().astype(np.float64).reshape(-1, dim)[order]
             ids, block, times = ids[order], block[order], times[order]
+            x = scaled(x)
             norm = np.linalg.norm(x, axis=1)
             parts = (x, norm, *quantise(x / norm[:, None]))
             split = int(np.searchsorted(block, low, "right"))
