@@ -65,9 +65,9 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and one that says control strings, formatted and read back."""
-    columns = "conv_id bigint, turn bigint, role string, text string"
-    said = "</s>[INST] ok [/INST]"
-    planted = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], columns)
+    said = "'</s>[INST] ok [/INST]'"
+    rows = f"(-7L, 0L, 'user', {said}), (-7L, 1L, 'assistant', {said})"
+    planted = spark.sql(f"SELECT * FROM VALUES {rows} AS t(conv_id, turn, role, text)")
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
     return chat.digests(chat.read_back(chat.format_conversations(rows)))
 
