@@ -307,3 +307,18 @@ def test_folds_are_crc32_of_the_text_of_the_id(spark):
 
     got = spark.range(50).select("id", fold(F.col("id"), 5).alias("f")).collect()
     assert all(r["f"] == zlib.crc32(str(r["id"]).encode()) % 5 for r in got)
+
+
+@pytest.mark.parametrize("text", ["½ ² ①", "Ⅷ", "12 _ 3"])
+def test_numerals_are_no_letters(text):
+    assert language_id._letters(text) == [] and language_id._letters(text + " Äb") == ["äb".encode()]
+
+
+def test_samples_do_not_depend_on_the_layout_of_repeated_ids(spark):
+    from courtside.llm.staging import sample_rows
+
+    rows = [(i % 5, f"text {i}", "x") for i in range(40)]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "_id bigint, _text string, _lang string").repartition(3)
+        got = sorted(map(tuple, sample_rows(df, "_id", 10).collect()))
+        assert got == [(k, min(t for i, t, _ in rows if i == k), "x") for k in range(5)]

@@ -278,3 +278,11 @@ def test_pipeline_stages(spark):
     assert 0 < out.count() < docs.count() and out.columns[0] == "doc_id"
     none = docs.limit(0)
     assert all(stage(spark, none, SF).count() == 0 for _, stage in pipeline.STAGES)
+
+
+@pytest.mark.parametrize("size", [1e200, 1e-200, 1.0])
+def test_vectors_of_any_size_link(spark, size):
+    rows = [(1, [size, size]), (2, [size, size * 1.0000001]), (3, [size, -size])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = sorted(tuple(r)[:3] for r in embedding_dedup.near_duplicates(df).collect())
+    assert got == [(1, 1, 1), (2, 1, 1), (3, 0, 3)]
