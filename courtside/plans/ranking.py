@@ -19,6 +19,11 @@ def of_season_teams(stats: DataFrame, season_teams: DataFrame) -> DataFrame:
     return stats.join(season_teams.select("team").distinct(), "team", "left_semi")
 
 
+def of_each_season(stats: DataFrame, season_teams: DataFrame) -> DataFrame:
+    """Statistics of the teams of every season, one row per season and team that has any."""
+    return season_teams.select("season_id", "team").distinct().join(stats, "team")
+
+
 def season_standings(stats: DataFrame, season_teams: DataFrame) -> DataFrame:
     """One row per team of each season; teams without a result have zeros."""
     zero = F.lit(0).cast("bigint")

@@ -549,9 +549,8 @@ def all_time_standings(spark, sf):
 
 @query
 def season_team_stats(spark, sf):
-    """All-time results of orders, kept for the first half of each season's list of teams."""
-    teams = _seeds(_stored(spark, sf)).where("season_id = 1 AND seed < 12")
-    return rank.of_season_teams(stats.team_stats(_outcomes(spark, sf)), teams)
+    """All-time results of orders, for the teams of every season's list."""
+    return rank.of_each_season(stats.team_stats(_outcomes(spark, sf)), _seeds(_stored(spark, sf)))
 
 
 @query
@@ -766,6 +765,18 @@ def stream_team_stats(spark, sf):
     return sinks.read_latest(spark, path, ["team"])
 
 
+@query
+def compacted_player_points(spark, sf):
+    """Totals from a changelog of many batches that is compacted after every second one."""
+    path, checkpoint = _folder(spark)
+    events, parts = tables.table(spark, sf, "events"), new_path(spark, "events")
+    events.repartition(7).write.parquet(parts)
+    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(parts)
+    feed = tables.plays_feed(arriving)
+    jobs.player_points(feed, path, checkpoint, available_now=True, compact_every=2).awaitTermination()
+    return sinks.read_latest(spark, path, ["player"])
+
+
 @query
 def stream_odds(spark, sf):
     path, checkpoint = _folder(spark)

@@ -15,21 +15,23 @@ from courtside.streaming.sinks import write_changelog, write_stream
 
 
 def player_points(
-    feed: DataFrame, path: str, checkpoint: str, available_now: bool = False
+    feed: DataFrame, path: str, checkpoint: str, available_now: bool = False, compact_every: int | None = None
 ) -> StreamingQuery:
     """All-time player totals: each batch stores the totals it changed."""
-    scoring = parse.scoring_plays(parse.plays(parse.parse_feed(feed)))
+    totals = stats.player_points(parse.scoring_plays(parse.plays(parse.parse_feed(feed))))
     return write_changelog(
-        stats.player_points(scoring), path, checkpoint, available_now=available_now
+        totals, path, checkpoint, available_now=available_now, keys=["player"], compact_every=compact_every
     )
 
 
 def team_stats(
-    feed: DataFrame, path: str, checkpoint: str, available_now: bool = False
+    feed: DataFrame, path: str, checkpoint: str, available_now: bool = False, compact_every: int | None = None
 ) -> StreamingQuery:
     """All-time team standings: each batch stores the standings it changed."""
-    outcomes = stats.match_outcomes(parse.match_ends(parse.parse_feed(feed)))
-    return write_changelog(stats.team_stats(outcomes), path, checkpoint, available_now=available_now)
+    standings = stats.team_stats(stats.match_outcomes(parse.match_ends(parse.parse_feed(feed))))
+    return write_changelog(
+        standings, path, checkpoint, available_now=available_now, keys=["team"], compact_every=compact_every
+    )
 
 
 def odds(feed: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:

@@ -16,8 +16,8 @@ from courtside.schema import (
     STREAK_TOPIC,
     TEAM_TOPIC,
 )
+from courtside.streaming.compaction import BATCH, compact, newest, read_changes
 
-BATCH = "batch_id"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -88,17 +88,24 @@ def write_changelog(
     mode: str = "update",
     available_now: bool = False,
     trigger: str | None = None,
+    keys: list[str] | None = None,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
     """Start a query that stores the changed rows of every micro-batch.
 
     Each batch owns the folder of its id and overwrites it, so a batch that runs again
-    after a failure leaves the same table.
+    after a failure leaves the same table. With ``compact_every`` the batches before it are
+    folded into one row per ``keys`` after every so many batches.
     """
 
     configure_state(df.sparkSession)
+    if compact_every and not keys:
+        raise ValueError("compaction needs the keys of the table")
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        if compact_every and batch_id % compact_every == compact_every - 1:
+            compact(batch.sparkSession, path, keys)
 
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if available_now:
@@ -109,14 +116,8 @@ def write_changelog(
 
 
 def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """The newest row of each key in a changelog."""
-    changes = spark.read.parquet(path)
-    values = [c for c in changes.columns if c not in (*keys, BATCH)]
-    return (
-        changes.groupBy(*keys)
-        .agg(F.max_by(F.struct(*values), BATCH).alias("v"))
-        .select(*keys, "v.*")
-    )
+    """The newest row of each key in a changelog, compacted or not."""
+    return newest(read_changes(spark, path), keys).drop(BATCH)
 
 
 def read_table_stream(spark: SparkSession, path: str, schema) -> DataFrame:

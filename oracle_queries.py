@@ -581,9 +581,10 @@ ORACLE: dict[str, str] = {
            WHERE s.season_id = (SELECT max(season_id) FROM seeds)"""
     ),
     "season_team_stats": _ORDERS
-    + """SELECT * FROM stats WHERE team IN (
-           SELECT 'T' || ((i * 7 + day) % 24) FROM (SELECT unnest(range(12)) AS i),
-             (SELECT min(epoch_us(ts) // 86400000000) AS day FROM events WHERE (epoch_us(ts) // 86400000000) % 10 = 0))""",
+    + """SELECT * FROM stats JOIN (
+           SELECT season_id, 'T' || ((i * 7 + day) % 24) AS team FROM (SELECT unnest(range(24)) AS i),
+             (SELECT day, row_number() OVER (ORDER BY day) AS season_id
+              FROM (SELECT DISTINCT epoch_us(ts) // 86400000000 AS day FROM events) WHERE day % 10 = 0)) USING (team)""",
     "ranking": _events(
         """SELECT s.season_id, s.team, CAST(row_number() OVER (PARTITION BY s.season_id ORDER BY win DESC, seed) AS INTEGER) AS rank,
              CASE WHEN CAST(substr(s.team, 2) AS INTEGER) % 2 = 0 THEN 'Team ' || substr(s.team, 2) ELSE s.team END AS team_name,
@@ -649,6 +650,7 @@ ORACLE: dict[str, str] = {
 
 for _same in ("player_points", "team_stats", "odds"):
     ORACLE[f"stream_{_same}"] = ORACLE[_same]
+ORACLE["compacted_player_points"] = ORACLE["player_points"]
 for _now in ("season_info", "ranking", "player_leaders", "hot_streak_board"):
     _body = ORACLE[_now].removeprefix(_EVENTS)
     ORACLE[f"{_now}_now"] = _events(
