@@ -99,6 +99,47 @@ def live_matches(parsed: DataFrame) -> DataFrame:
     )
 
 
+def live_state(parsed: DataFrame) -> DataFrame:
+    """State of each game key as a running aggregate, for streams: the newest of every kind of
+    message and whether the key shows no match (``removed``), as after a final.
+
+    Messages count by feed order, whenever they arrive; a start message opens a new match,
+    which knows nothing of the one before. State has one row per game key.
+    """
+    at, final = order_key(), F.col("tipo") == FINAL
+    shown = match_lines(parsed).where(F.col("game_key").isNotNull())
+    return shown.groupBy("game_key").agg(
+        F.max(F.when(F.col("tipo") == START, at)).alias("start"),
+        F.max(F.when(final, at)).alias("final"),
+        _last(F.struct("line", "titled"), ~final).alias("l"),
+        _last(F.struct("quarter", at.alias("at")), ~final & F.col("quarter").isNotNull()).alias("q"),
+        _last(F.struct("quarter", "scoreboard", at.alias("at")), F.col("tipo") == PLAY).alias("p"),
+    ).withColumn(
+        "removed", F.col("l").isNull() | F.coalesce(F.col("final") > F.col("start"), F.col("final").isNotNull())
+    )
+
+
+def _of_this_match(message: str) -> Column:
+    """Whether a message of ``live_state`` came after the start of the newest match."""
+    return F.col(message).isNotNull() & F.coalesce(F.col(f"{message}.at") >= F.col("start"), F.lit(True))
+
+
+def live_changes(parsed: DataFrame) -> DataFrame:
+    """Latest score and quarter of each game key's newest match; ``removed`` if it is over."""
+    state = live_state(parsed).withColumn("s", scoreboard(F.col("l.line"), "dashboard", F.col("l.titled")))
+    quarter = F.coalesce(F.when(_of_this_match("q"), F.col("q.quarter")), F.lit(0))
+    return state.select(
+        "game_key", "s.home", "s.away", "s.home_score", "s.away_score", quarter.alias("quarter"), "removed"
+    )
+
+
+def open_plays(parsed: DataFrame) -> DataFrame:
+    """The newest play of each game key's newest match; ``removed`` if it is over or has none."""
+    return live_state(parsed).select(
+        "game_key", "p.quarter", "p.scoreboard", (F.col("removed") | ~_of_this_match("p")).alias("removed")
+    )
+
+
 def last_plays(plays: DataFrame, by: list[str]) -> DataFrame:
     """The newest play of each key: enough for the newest odds, which each play restates."""
     rest = [c for c in plays.columns if c not in by]

@@ -20,7 +20,7 @@ def odds(plays: DataFrame) -> DataFrame:
 
     An unreadable line still gives a row, with NULL odds.
     """
-    keep = [c for c in plays.columns if c in ("game_key", "ts", "partition", "offset", "season_id", "match_seq")]
+    keep = [c for c in plays.columns if c in ("game_key", "ts", "partition", "offset", "season_id", "match_seq", "removed")]
     rows = plays.select(*keep, "quarter", scoreboard("scoreboard", "odds").alias("s"))
     p = bounded_probability(
         win_probability(F.col("s.home_score") - F.col("s.away_score"), F.col("quarter"))

@@ -777,6 +777,30 @@ def compacted_player_points(spark, sf):
     return sinks.read_latest(spark, path, ["player"])
 
 
+def _arriving_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole feed as a stream of four parts by time, one part per trigger."""
+    feed, path = tables.events_feed(spark, sf), new_path(spark, "feed")
+    feed.repartitionByRange(4, "ts").write.parquet(path)
+    return spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@query
+def stream_live_matches(spark, sf):
+    """Open matches by game key, kept by a stream from which finals remove theirs."""
+    path, checkpoint = _folder(spark)
+    feed = _arriving_feed(spark, sf)
+    jobs.live_matches(feed, path, checkpoint, available_now=True, compact_every=2).awaitTermination()
+    return sinks.read_latest(spark, path, ["game_key"], removed="removed")
+
+
+@query
+def stream_open_odds(spark, sf):
+    """Odds of open matches by game key, kept by a stream from which finals remove theirs."""
+    path, checkpoint = _folder(spark)
+    jobs.open_odds(_arriving_feed(spark, sf), path, checkpoint, available_now=True, compact_every=2).awaitTermination()
+    return _rounded(sinks.read_latest(spark, path, ["game_key"], removed="removed"), "oddsA", "oddsB")
+
+
 @query
 def stream_odds(spark, sf):
     path, checkpoint = _folder(spark)

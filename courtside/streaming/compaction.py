@@ -13,6 +13,9 @@ only step that readers can see, and it either happened or not:
 
 The newest batch is never folded in: only when the next one has begun is a batch committed
 and not written again. One process compacts a changelog at a time, usually the job itself.
+Rows may be tombstones: a true value in the column ``removed`` says that the key is gone.
+Readers and compaction leave out keys whose newest row is one; a key may come back later.
+
 Each compaction is one aggregate by key in Spark; the driver holds names only, at most those
 of the batches since the last one that was compacted and of the ``keep`` versions.
 """
@@ -75,11 +78,12 @@ def _rows(spark: SparkSession, path: str, version: tuple[int, str] | None, batch
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def newest(changes: DataFrame, keys: list[str]) -> DataFrame:
-    """The newest row of each key, with the batch that it comes from."""
+def newest(changes: DataFrame, keys: list[str], removed: str | None = None) -> DataFrame:
+    """The newest row of each key, with the batch that it comes from; none if that says it is gone."""
     values = [c for c in changes.columns if c not in (*keys, BATCH)]
     best = F.max_by(F.struct(*values), BATCH).alias("v")
-    return changes.groupBy(*keys).agg(best, F.max(BATCH).alias(BATCH)).select(*keys, "v.*", BATCH)
+    rows = changes.groupBy(*keys).agg(best, F.max(BATCH).alias(BATCH)).select(*keys, "v.*", BATCH)
+    return rows.where(~F.col(removed)) if removed else rows
 
 
 def read_changes(spark: SparkSession, path: str) -> DataFrame:
@@ -100,7 +104,7 @@ def publish(files: _Files, upto: int, folder: str) -> None:
     files.create(f"{MANIFEST}/{upto:020d}-{folder}")
 
 
-def compact(spark: SparkSession, path: str, keys: list[str], keep: int = 1) -> int | None:
+def compact(spark: SparkSession, path: str, keys: list[str], removed: str | None = None, keep: int = 1) -> int | None:
     """Fold all batches but the newest into a new table; the last batch folded, if any was.
 
     ``keep``: how many versions before the newest stay whole for readers that began with them.
@@ -115,7 +119,7 @@ def compact(spark: SparkSession, path: str, keys: list[str], keep: int = 1) -> i
     for orphan in set(files.names(TABLES)) - named:
         files.delete(f"{TABLES}/{orphan}")
     folder = uuid.uuid4().hex
-    newest(_rows(spark, path, version, fresh), keys).write.parquet(f"{path}/{TABLES}/{folder}")
+    newest(_rows(spark, path, version, fresh), keys, removed).write.parquet(f"{path}/{TABLES}/{folder}")
     publish(files, fresh[-1], folder)
     _drop_before(files, _versions(files), batches, keep)
     return fresh[-1]

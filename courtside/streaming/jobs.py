@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from courtside.operators import parse, stats, streaks
+from courtside.operators import latest, parse, stats, streaks
 from courtside.operators.segments import segment
 from courtside.plans import dashboard as dash
 from courtside.streaming.sinks import write_changelog, write_stream
@@ -34,6 +34,36 @@ def team_stats(
     )
 
 
+def live_matches(
+    feed: DataFrame, path: str, checkpoint: str, available_now: bool = False, compact_every: int | None = None
+) -> StreamingQuery:
+    """Scores of matches that are not over, by game key; a final removes its match."""
+    return write_changelog(
+        latest.live_changes(parse.parse_feed(feed)), path, checkpoint, available_now=available_now,
+        keys=["game_key"], compact_every=compact_every, removed="removed",
+    )
+
+
+def open_odds(
+    feed: DataFrame, path: str, checkpoint: str, available_now: bool = False, compact_every: int | None = None
+) -> StreamingQuery:
+    """Newest odds of matches that are not over, by game key; a final removes its match."""
+    priced = stats.odds(latest.open_plays(parse.parse_feed(feed)))
+    blank, none = F.lit(""), F.lit(0.0)
+    shown = priced.select(
+        "game_key",
+        F.coalesce("teamA", blank).alias("teamA"),
+        F.coalesce("teamB", blank).alias("teamB"),
+        F.coalesce("oddsA", none).alias("oddsA"),
+        F.coalesce("oddsB", none).alias("oddsB"),
+        "removed",
+    )
+    return write_changelog(
+        shown, path, checkpoint, available_now=available_now,
+        keys=["game_key"], compact_every=compact_every, removed="removed",
+    )
+
+
 def odds(feed: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
     """Odds of every play; no state and no shuffle."""
     priced = stats.odds(parse.plays(parse.parse_feed(feed)))

@@ -90,12 +90,14 @@ def write_changelog(
     trigger: str | None = None,
     keys: list[str] | None = None,
     compact_every: int | None = None,
+    removed: str | None = None,
 ) -> StreamingQuery:
     """Start a query that stores the changed rows of every micro-batch.
 
     Each batch owns the folder of its id and overwrites it, so a batch that runs again
     after a failure leaves the same table. With ``compact_every`` the batches before it are
-    folded into one row per ``keys`` after every so many batches.
+    folded into one row per ``keys`` after every so many batches;
+    rows whose column ``removed`` is true are tombstones.
     """
 
     configure_state(df.sparkSession)
@@ -105,7 +107,7 @@ def write_changelog(
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
         if compact_every and batch_id % compact_every == compact_every - 1:
-            compact(batch.sparkSession, path, keys)
+            compact(batch.sparkSession, path, keys, removed)
 
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if available_now:
@@ -115,9 +117,10 @@ def write_changelog(
     return writer.foreachBatch(store).start()
 
 
-def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """The newest row of each key in a changelog, compacted or not."""
-    return newest(read_changes(spark, path), keys).drop(BATCH)
+def read_latest(spark: SparkSession, path: str, keys: list[str], removed: str | None = None) -> DataFrame:
+    """The newest row of each key in a changelog, compacted or not, without removed keys."""
+    rows = newest(read_changes(spark, path), keys, removed).drop(BATCH)
+    return rows.drop(removed) if removed else rows
 
 
 def read_table_stream(spark: SparkSession, path: str, schema) -> DataFrame:

@@ -643,6 +643,18 @@ ORACLE: dict[str, str] = {
              ts AS alert_ts, "partition", "offset",
              'O ' || player || ' está pegando fogo! Fez ' || total || ' pontos em sequência!' AS message FROM upd"""
     ),
+    "stream_live_matches": _events(
+        """SELECT game_key, home, away, home_score, away_score, quarter FROM live l
+           WHERE match_seq = (SELECT max(s.match_seq) FROM starts s WHERE s.game_key = l.game_key)"""
+    ),
+    "stream_open_odds": _events(
+        _latest_odds("game_key").replace(
+            "FROM play_odds",
+            "FROM (SELECT * FROM play_odds p WHERE match_seq = (SELECT max(s.match_seq) FROM starts s "
+            "WHERE s.game_key = p.game_key) AND NOT EXISTS (SELECT 1 FROM finals f WHERE f.game_key = p.game_key "
+            "AND f.match_seq = p.match_seq))",
+        )
+    ),
     "stream_simultaneous_streaks": _events(
         _stream_window(3600, "upd", "", "count(*) AS streaks", "count(*) >= 2")
     ),

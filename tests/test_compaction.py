@@ -1,7 +1,8 @@
 import pytest
-from conftest import rows
+from conftest import make_feed, play, rows, start
 
-from courtside.streaming import compaction, sinks
+from courtside.schema import FEED_SCHEMA
+from courtside.streaming import compaction, jobs, sinks
 
 
 def batch(spark, path, n, totals):
@@ -82,3 +83,29 @@ def test_the_newest_batch_may_be_written_again_and_unfinished_ones_are_not_read(
 def test_keys_are_needed(spark, tmp_path):
     with pytest.raises(ValueError):
         sinks.write_changelog(spark.readStream.format("rate").load(), str(tmp_path / "t"), str(tmp_path / "c"), compact_every=2)
+
+
+def test_a_final_removes_its_match_and_a_start_brings_the_next(spark, tmp_path):
+    feed, live, odds = (str(tmp_path / name) for name in ("f", "l", "o"))
+    teams = {"A": (["a"], []), "B": (["b"], [])}
+    parts = [
+        [("g1", 1, start("A", "B", **teams)), ("g1", 2, play("A", 3, "A 1 X 0 B", acao="FOUL")),
+         ("g2", 3, play("C", 2, "C 4 X 0 D", acao="FOUL"))],
+        [("g1", 9, {"tipo": "FINAL", "match": "A 1 X 0 B"}), ("g2", 8, play("C", None, "C 4 X 5 D", acao="FOUL"))],
+        [("g1", 20, start("B", "A", **teams)), ("g2", 7, play("C", 4, "C 4 X 2 D", acao="FOUL"))],
+    ]
+    want = [
+        [("g1", "A", "B", 1, 0, 3), ("g2", "C", "D", 4, 0, 2)],
+        [("g2", "C", "D", 4, 5, 2)],
+        [("g1", "B", "A", 0, 0, 0), ("g2", "C", "D", 4, 5, 4)],
+    ]
+    for part, matches in zip(parts, want):
+        make_feed(spark, part).coalesce(1).write.mode("append").parquet(feed)
+        arriving = spark.readStream.schema(FEED_SCHEMA).parquet(feed)
+        jobs.live_matches(arriving, live, f"{live}.c", available_now=True, compact_every=1).awaitTermination()
+        assert rows(sinks.read_latest(spark, live, ["game_key"], removed="removed")) == matches
+    # g1 was gone in the newest table, and came back with the batch after it
+    folder = compaction._versions(compaction._Files(spark, live))[-1][1]
+    assert [r["game_key"] for r in spark.read.parquet(f"{live}/_compacted/{folder}").collect()] == ["g2"]
+    jobs.open_odds(arriving, odds, f"{odds}.c", available_now=True).awaitTermination()
+    assert [r[0] for r in rows(sinks.read_latest(spark, odds, ["game_key"], removed="removed"))] == ["g2"]
