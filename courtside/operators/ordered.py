@@ -93,3 +93,26 @@ def running(
         ],
         *[F.coalesce(f"_w_{n}", f"_c_{n}").alias(n) for n in lasts],
     )
+
+
+def stream_clock(df: DataFrame, by: list[str], order: list[str], block: int = 100_000) -> DataFrame:
+    """Add ``clock``: the newest ``ts`` among the rows of ``by`` that have arrived up to each row.
+
+    ``order`` is the order of arrival; ``order[0]`` is a whole number, such as the offset, on
+    which arrivals are cut into blocks. Blocks are reduced to their newest time, carried over
+    by a window over block rows, and the row window spans one block, so a partition of any
+    length is never one task.
+    """
+    rows = df.withColumn("_block", F.call_function("div", F.col(order[0]), F.lit(block)))
+    tops = rows.groupBy(*by, "_block").agg(F.max("ts").alias("_top"))
+    earlier = Window.partitionBy(*by).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = tops.select(*by, "_block", F.max("_top").over(earlier).alias("_before"))
+    so_far = (
+        Window.partitionBy(*by, "_block")
+        .orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    local = rows.withColumn("_so_far", F.max("ts").over(so_far))
+    # Same keys as the window above, so only the block rows move for this join.
+    joined = local.join(carried, [*by, "_block"])
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], F.greatest("_so_far", "_before").alias("clock"))

@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from courtside.functions.text import NO_VALUE, alert_message, is_blank, parse_alert, simultaneous_message
 from courtside.functions.scoreboard import scoreboard
 from courtside.operators.latest import context_rows, match_lines
-from courtside.operators.ordered import BUCKET_SECONDS, running, seconds
+from courtside.operators.ordered import BUCKET_SECONDS, running, seconds, stream_clock
 from courtside.schema import FINAL, MATCH, ORDER, START
 
 HOT_STREAK_WINDOW = "5 seconds"
@@ -37,6 +37,20 @@ def _windowed(rows: DataFrame, ts: str, size: str) -> DataFrame:
     )
 
 
+def in_stream_time(
+    scoring: DataFrame, size: str = HOT_STREAK_WINDOW, arrival: list[str] | None = None, block: int = 100_000
+) -> DataFrame:
+    """The plays that a job with a clock per record would count, without grace.
+
+    The clock of a feed partition is the newest time that has arrived in it, the record itself
+    included; a play whose window has ended by that clock is late. Plays without a player
+    neither count nor move the clock. ``arrival`` is the order of arrival, by default the offset.
+    """
+    plays = scoring.where(F.col("player").isNotNull())
+    clocked = stream_clock(plays, ["partition"], arrival or ["offset"], block)
+    return _windowed(clocked, "ts", size).where(F.col("window_end") > F.col("clock")).select(*scoring.columns)
+
+
 def hot_streaks(
     scoring: DataFrame,
     size: str = HOT_STREAK_WINDOW,

@@ -421,6 +421,15 @@ def hot_streaks_long_window(spark, sf):
     return _plain_time(streaks.hot_streaks(_scoring(spark, sf), STREAK_WINDOW, threshold=5))
 
 
+@query
+def hot_streaks_by_stream_time(spark, sf):
+    """Streaks of a feed that arrives out of order, without the plays that came too late."""
+    arrival = F.col("offset") + F.pmod(F.col("offset") * 7919, F.lit(4001))
+    shuffled = _scoring(spark, sf).withColumn("arrival", arrival)
+    counted = streaks.in_stream_time(shuffled, STREAK_WINDOW, ["arrival", "offset"])
+    return _plain_time(streaks.hot_streaks(counted, STREAK_WINDOW))
+
+
 @query
 def hot_streak_updates(spark, sf):
     return _plain_time(_updates(_scoring(spark, sf), "5 seconds"))

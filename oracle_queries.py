@@ -528,6 +528,15 @@ ORACLE: dict[str, str] = {
     # Streaks
     "hot_streaks": _events(_streaks(5, 2)),
     "hot_streaks_long_window": _events(_streaks(21600, 5)),
+    "hot_streaks_by_stream_time": _events(
+        _streaks(21600, 2).replace(
+            "FROM scoring",
+            """FROM (SELECT * FROM (SELECT *, max(epoch_us(ts)) OVER (PARTITION BY "partition"
+                 ORDER BY "offset" + "offset" * 7919 % 4001, "offset" ROWS UNBOUNDED PRECEDING) AS clock
+                 FROM scoring WHERE player IS NOT NULL)
+               WHERE (epoch_us(ts) // 21600000000 + 1) * 21600000000 > clock)""",
+        )
+    ),
     "hot_streak_updates": _events(_updates(5, 2)),
     "hot_streak_updates_long_window": _events(_updates(21600, 2)),
     "alert_messages": _events(

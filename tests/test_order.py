@@ -147,3 +147,25 @@ def test_alert_context_is_as_of_the_alert(spark):
     got = streaks.enrich_alerts(sent, parse.rosters(feed), played, feed)
     # The second alert has no quarter of its own and takes the live match's as it was then.
     assert rows(got, "offset", "player", "team", "quarter") == [(2, "p", "A", 2), (4, "p", "A", 3)]
+
+
+def test_plays_that_come_after_the_clock_has_closed_their_window_are_late(spark):
+    import random
+
+    from courtside.operators import streaks
+
+    rng = random.Random(5)
+    plays = [(rng.choice(["a", "b", None]), 2, rng.randrange(3), n, n // 3 + rng.randrange(-30, 30)) for n in range(300)]
+    clock, want = {}, []
+    for player, _, partition, offset, second in plays:
+        if player is not None:
+            clock[partition] = max(clock.get(partition, second), second)
+            if (second // 5 + 1) * 5 > clock[partition]:
+                want.append(offset)
+    schema = "player string, points int, `partition` int, `offset` bigint, s int"
+    df = spark.createDataFrame(plays, schema).selectExpr("* except (s)", "timestamp_seconds(1700000000 + s) AS ts")
+    for block in (7, 100_000):
+        kept = streaks.in_stream_time(df, "5 seconds", block=block)
+        assert kept.columns == df.columns
+        assert sorted(r["offset"] for r in kept.collect()) == want
+    assert 0 < len(want) < 150
