@@ -1,31 +1,27 @@
 """Intermediate tables in the folder that driver and executors share, and bounded samples.
 
 A staged table cuts lineage: what was written survives the loss of executors. The folder is
-``spark.checkpoint.dir`` of the session. Where it is unset, only a local master gets a
-folder of its own; a cluster without the setting is an error, since executors could not
+``spark.checkpoint.dir`` of the session. Where it is unset, only a local master can go on, in
+its warehouse folder; a cluster without the setting is an error, since executors could not
 read each other's files.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_LOCAL: dict[str, str] = {}
-
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    key = spark.sparkContext.applicationId
-    return _LOCAL.setdefault(key, tempfile.mkdtemp(prefix="llm-"))
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = spark.conf.get("spark.sql.warehouse.dir")
+    return folder.rstrip("/")
 
 
 class Shared:
