@@ -6,14 +6,15 @@ Texts are linked when their sets overlap by 0.8 or more of their union.
 Method. Each run starts one path; a path is continued by tokens (shingles) of the set that a
 hash of path and token samples, at a rate inverse to the size of the set, so that two similar
 sets expect to sample a shared token. Sets that chose the same path meet in its bucket.
-Buckets of at most ``bucket`` sets are compared by brute force; the sets of larger buckets
-split further along their next sampled tokens, to any depth. From the second token on, tokens
-are sampled from the set's sketch, the smallest shingle of each of 128 bins, which travels
-with the set. A bucket of at most ``room`` sets splits within its task; only the members of
-larger buckets are shuffled to the paths that they choose next. Where ``DEPTH`` tokens do not
-make a bucket small, it is compared as it is, in tiles of bounded size, so no case is left
-out. Sets that are all possible with one of them are one candidate group and need no more of
-their bucket. Runs repeat until the chance to have missed a pair of similarity 0.8 is below
+The sets of buckets split further along their next sampled tokens; parts of at most ``bucket``
+sets split once more, and what still meets is compared by brute force. From the second token
+on, tokens are sampled from the set's sketch, the smallest shingle of each of 128 bins, which
+travels with the set. A bucket of at most ``room`` sets splits within its task; only the
+members of larger buckets are shuffled to the paths that they choose next. Within a task,
+what most sets of a part share is not sampled, as it would not split them, so parts halve at
+least. Where ``DEPTH`` shuffled tokens do not make a bucket small, it is compared as it is, in
+tiles of bounded size, so no case is left out. Sets of one candidate group need no more of
+their bucket, and a task holds one link per set that joins a group. Runs repeat until the chance to have missed a pair of similarity 0.8 is below
 one minus ``recall`` (``runs_for``).
 
 In buckets, sets are compared by size and by 128 one-byte minima of their hashes (a pair of
@@ -48,6 +49,8 @@ from courtside.llm.staging import Shared
 _WORD = re.compile(r"\w+")
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 BINS, DEPTH = 128, 16
+#: Parts of at most so many sets are compared at once, without a look at whether they split.
+FEW = 8
 #: Children that a path of one set expects, over what two sets of the threshold need to share one.
 OVERSAMPLE = 1.5
 #: Least share of its bins in which a set of the threshold agrees with another (2.8 deviations below the mean).
@@ -182,40 +185,101 @@ def _possible(n1: np.ndarray, n2: np.ndarray, s1: np.ndarray, s2: np.ndarray, th
     return (np.minimum(n1, n2) >= threshold * np.maximum(n1, n2) - 1e-9) & (same >= least)
 
 
+def _pairs(starts: np.ndarray, sizes: np.ndarray, at_once: int = 1 << 15) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of positions within parts, about ``at_once`` at a time."""
+    for size in np.unique(sizes[sizes > 1]):
+        own = starts[sizes == size]
+        if size > 256:
+            for start in own:
+                for k in range(start, start + size - 1):
+                    yield np.full(start + size - 1 - k, k), np.arange(k + 1, start + size)
+            continue
+        i, j = np.triu_indices(size, 1)
+        step = max(1, at_once // len(i))
+        for at in range(0, len(own), step):
+            base = own[at : at + step, None]
+            yield (base + i).ravel(), (base + j).ravel()
+
+
 def split_links(
     path: int, n: np.ndarray, sketches: np.ndarray, bucket: int, threshold: float
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Candidate links (row numbers) of one bucket, which splits along sampled tokens of its
-    sketches until its parts are small or one candidate group."""
-    limits = sampling(sketches)
-
-    def linked(row: int, rows: np.ndarray) -> np.ndarray:
-        return _possible(n[row], n[rows], sketches[row], sketches[rows], threshold)
+    """Candidate links (row numbers) that make the candidate groups of one bucket, which splits
+    along sampled tokens of its sketches until its parts are small or one candidate group.
 
-    pending = [(np.arange(len(n)), np.uint64(path), 0)]
+    What most rows of a part have in common would not split it, so such bins are not sampled,
+    and the others at a rate that makes up for them. Rows that hold little else meet the whole
+    part, and leave it. So every part has at most half the rows of the one that it came from.
+    Pairs within a candidate group are neither compared nor returned.
+    """
+    used = np.count_nonzero(sketches, axis=1)
+    labels = np.arange(len(n))
+
+    def joined(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The possible ones of row pairs that are not in one candidate group, which they then are."""
+        nonlocal labels
+        ok = labels[a] != labels[b]
+        ok &= np.minimum(n[a], n[b]) >= threshold * np.maximum(n[a], n[b]) - 1e-9
+        a, b = a[ok], b[ok]
+        for at in range(0, len(a), 1 << 15):
+            i, j = a[at : at + (1 << 15)], b[at : at + (1 << 15)]
+            ok = _possible(n[i], n[j], sketches[i], sketches[j], threshold)
+            if ok.any():
+                labels = spread(labels, i[ok], j[ok])
+                yield i[ok], j[ok]
+
+    nothing = np.zeros(BINS, np.uint8)
+    pending = [(np.arange(len(n)), np.zeros(1, int), np.array([path], np.uint64), 0, nothing)]
     while pending:
-        rows, path, depth = pending.pop()
-        near = linked(rows[0], rows[1:])
-        yield np.full(int(near.sum()), rows[0]), rows[1:][near]
-        others = rows[1:][~near]
-        if len(others) <= bucket or depth == DEPTH:
-            # what is not possible with the first one meets all: nothing is left after that
-            for k, row in enumerate(others):
-                met = np.concatenate([rows[1:][near], others[k + 1 :]])
-                met = met[linked(row, met)]
-                yield np.full(len(met), row), met
-            continue
-        hashes = mix(path ^ _BIN)
-        for b in np.flatnonzero(hashes <= limits[rows].max()):
-            chosen = rows[(limits[rows] >= hashes[b]) & (sketches[rows, b] > 0)]
-            values = sketches[chosen, b]
-            order = np.argsort(values, kind="stable")
-            chosen, values = chosen[order], values[order]
-            starts = np.flatnonzero(np.diff(values, prepend=np.uint8(0)))
-            onward = mix(hashes[b] + values[starts].astype(np.uint64))
-            for part, path in zip(np.split(chosen, starts[1:]), onward):
-                if len(part) > 1:
-                    pending.append((part, path, depth + 1))
+        rows, starts, paths, splits, common = pending.pop()
+        sizes = np.diff(starts, append=len(rows))
+        part = np.repeat(np.arange(len(sizes)), sizes)
+        yield from joined(rows[starts][part], rows)
+        open_ = np.minimum.reduceat(labels[rows], starts) < np.maximum.reduceat(labels[rows], starts)
+        alone = len(starts) == 1 and sizes[0] > bucket
+        if alone:
+            common = nothing.copy()
+            for b in range(BINS):
+                times = np.bincount(sketches[rows, b], minlength=256)
+                times[0] = 0
+                common[b] = times.argmax() if 2 * times.max() > sizes[0] else 0
+        held = np.concatenate(
+            [np.count_nonzero((sketches[r] == common) & (common > 0), axis=1) for r in np.split(rows, range(4096, len(rows), 4096))]
+        )
+        left = AGREEING * used[rows] - held
+        bound = left < OVERSAMPLE
+        if alone and open_[0]:
+            for k in np.flatnonzero(bound):
+                met = rows[~bound | (np.arange(len(rows)) > k)]
+                if len(met := met[labels[met] != labels[rows[k]]]):
+                    yield from joined(np.full(len(met), rows[k]), met)
+        elif not alone:
+            whole = open_ & ((sizes <= FEW) | (splits > 1) | np.logical_or.reduceat(bound, starts))
+            for i, j in _pairs(starts[whole], sizes[whole]):
+                yield from joined(rows[i], rows[j])
+            open_ &= ~whole
+        going = np.flatnonzero(open_[part] & ~bound)
+        limits = _limit(np.minimum(1.0, OVERSAMPLE / np.maximum(left[going], OVERSAMPLE)))
+        found, onward = [np.zeros(0, int)], [np.zeros(0, np.uint64)]
+        for at in range(0, len(going), 4096):
+            own = going[at : at + 4096]
+            values = sketches[rows[own]]
+            hashes = mix(paths[part[own]][:, None] ^ _BIN[None, :])
+            i, b = np.nonzero((hashes <= limits[at : at + 4096, None]) & (values > 0) & (values != common))
+            found.append(rows[own[i]])
+            onward.append(mix(hashes[i, b] + values[i, b].astype(np.uint64)))
+        found, onward = np.concatenate(found), np.concatenate(onward)
+        order = np.argsort(onward, kind="stable")
+        found, onward = found[order], onward[order]
+        starts = np.flatnonzero(np.concatenate([[True], onward[1:] != onward[:-1]])[: len(onward)])
+        sizes = np.diff(starts, append=len(onward))
+        for start, size in zip(starts[sizes > bucket], sizes[sizes > bucket]):
+            pending.append((found[start : start + size], np.zeros(1, int), onward[start : start + 1], 0, nothing))
+        few = (sizes > 1) & (sizes <= bucket)
+        if few.any():
+            kept = np.repeat(few, sizes)
+            firsts = np.cumsum(sizes[few]) - sizes[few]
+            pending.append((found[kept], firsts, onward[starts[few]], 1 if alone else splits + 1, common))
 
 
 def _bucket_links(batches: Iterator[pa.RecordBatch], bucket: int, threshold: float) -> Iterator[pa.RecordBatch]:

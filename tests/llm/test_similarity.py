@@ -209,6 +209,18 @@ def test_near_copies_are_one_candidate_group_at_once(monkeypatch):
     assert sum(len(a) for a, _ in found) == 4999 and len(found) == 1
 
 
+def test_near_copies_among_others_are_linked_once():
+    """Links held by a task stay in proportion to the bucket, however often it splits."""
+    rng = np.random.default_rng(6)
+    own = sketches_that_share(rng, 4000, 0.6)
+    own[:2000] = own[0]
+    own[np.arange(2000), rng.integers(0, 128, 2000)] = 1
+    for path in range(5):
+        a, b = (np.concatenate(x) for x in zip(*jaccard_join.split_links(path, np.full(4000, 300), own, 100, 0.8)))
+        assert len(a) < 2 * 4000
+        assert len(set(jaccard_join.spread(np.arange(4000), a, b)[:2000].tolist())) == 1
+
+
 def test_sketch_estimates_similarity():
     rng = np.random.default_rng(1)
     both = rng.integers(0, 2**64, 8000, dtype=np.uint64)
