@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from courtside.functions.text import alert_message
 from courtside.operators.ordered import seconds
@@ -20,76 +20,69 @@ def _in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
     return pd.concat(list(rows)).sort_values(ORDER, kind="stable")
 
 
-class _WindowTotal(StatefulProcessor):
-    """Running points of one player in one window; forgotten once the window is over."""
+def _window_totals(size_ms: int):
+    """Running points of the players of one window and part; forgotten once the window is over."""
 
-    def __init__(self, size_ms: int) -> None:
-        self.size_ms = size_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.total = handle.getValueState("total", StructType([StructField("total", LongType())]))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        player, start = key
-        end_ms = int(pd.Timestamp(start).timestamp() * 1000) + self.size_ms
+    def run(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        start_us, _ = key
+        end_ms = int(start_us) // 1000 + size_ms
         # The watermark trails the newest time by one window, see hot_streak_updates.
-        if end_ms <= timerValues.getCurrentWatermarkInMs() + self.size_ms:
+        if end_ms <= state.getCurrentWatermarkMs() + size_ms:
             return
         batch = _in_order(rows)
-        if self.total.exists():
-            before = self.total.get()[0]
-        else:
-            before = 0
-            self.handle.registerTimer(end_ms)
-        totals = batch["points"].cumsum() + before
-        self.total.update((int(totals.iloc[-1]),))
+        before = dict(zip(*state.get)) if state.exists else {}
+        earlier = np.array([before.get(p, 0) for p in batch["player"]], np.int64)
+        totals = batch.groupby("player", sort=False)["points"].cumsum().astype("int64") + earlier
+        # of a player's plays the last one stays
+        before.update(zip(batch["player"], totals.tolist()))
+        state.update((list(before), list(before.values())))
+        state.setTimeoutTimestamp(end_ms)
         yield pd.DataFrame(
             {
-                "player": player,
-                "window_start": start,
-                "points": totals.astype("int64"),
+                "player": batch["player"],
+                "start_us": int(start_us),
+                "points": totals,
                 "ts": batch["ts"],
                 "partition": batch["partition"],
                 "offset": batch["offset"],
             }
         )
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.total.clear()
-        return iter([])
-
-    def close(self) -> None:
-        pass
+    return run
 
 
 def hot_streak_updates(
-    scoring: DataFrame, size: str = HOT_STREAK_WINDOW, threshold: int = 2
+    scoring: DataFrame, size: str = HOT_STREAK_WINDOW, threshold: int = 2, parts: int = 32
 ) -> DataFrame:
     """A streaming row, with its alert text, for every play above the threshold.
 
-    State is keyed by player *and* window, so even one player's plays spread over tasks.
+    State is keyed by window *and* part of the players, so even one player's plays spread
+    over tasks, and a window costs at most ``parts`` calls of Python, however many players it has.
     A play of a window that was over before its batch began is dropped. The watermark
     trails by one window, as older plays of a window still open do count.
     """
     rows = (
         scoring.where(F.col("player").isNotNull())
         .withWatermark("ts", size)
-        .withColumn("window_start", F.window("ts", size)["start"])
-        .select("player", "window_start", "points", *ORDER)
+        .withColumn("start_us", F.unix_micros(F.window("ts", size)["start"]))
+        .withColumn("part", F.pmod(F.xxhash64("player"), F.lit(parts)))
+        .select("start_us", "part", "player", "points", *ORDER)
     )
-    totals = rows.groupBy("player", "window_start").transformWithStateInPandas(
-        _WindowTotal(int(seconds(size) * 1000)),
+    totals = rows.groupBy("start_us", "part").applyInPandasWithState(
+        _window_totals(int(seconds(size) * 1000)),
         outputStructType=(
-            "player STRING, window_start TIMESTAMP, points BIGINT, ts TIMESTAMP, "
-            "`partition` INT, `offset` BIGINT"
+            "player STRING, start_us BIGINT, points BIGINT, ts TIMESTAMP, `partition` INT, `offset` BIGINT"
         ),
-        outputMode="Append",
-        timeMode="EventTime",
+        stateStructType="players ARRAY<STRING>, totals ARRAY<BIGINT>",
+        outputMode="append",
+        timeoutConf=GroupStateTimeout.EventTimeTimeout,
     )
     return totals.where(F.col("points") > threshold).select(
         "player",
-        "window_start",
+        F.timestamp_micros("start_us").alias("window_start"),
         "points",
         F.col("ts").alias("alert_ts"),
         "partition",

@@ -67,6 +67,18 @@ def test_streak_updates_and_late_plays(spark, tmp_path):
     assert got == [("a", 2, 4), ("a", 4, 6), ("b", 7, 3), ("c", 21, 3)]
 
 
+def test_players_of_a_window_share_state(spark, tmp_path):
+    """A window costs a bounded number of states, not one per player."""
+    path, out = str(tmp_path / "f"), str(tmp_path / "o")
+    scoring_feed(spark, path, [[(f"p{n}", 1 + n / 100, 2) for n in range(200)] * 2])
+    scoring = parse.scoring_plays(parse.plays(parse.parse_feed(stream(spark, path, 1))))
+    found = stateful.hot_streak_updates(scoring, parts=4)
+    job = sinks.write_stream(found, out, f"{out}.c", available_now=True)
+    job.awaitTermination()
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in job.recentProgress if p["stateOperators"]) <= 4
+    assert rows(spark.read.parquet(out), "player", "points") == sorted((f"p{n}", 4) for n in range(200))
+
+
 def test_exact_and_chained_simultaneous_streaks(spark, tmp_path):
     path = str(tmp_path / "f")
     scoring_feed(spark, path, [[("a", 1, 3), ("b", 1.5, 3), ("c", 4, 3)], [("z", 60, 1)]])
