@@ -17,6 +17,8 @@ Method.
    send expected counts, a row per state and class; Spark adds them, and the driver, which
    gets as many rows as the model has parameters, forms the next model. Every round sees all
    training texts, so the model does not depend on how they lie in chunks and partitions.
+   The texts of a chunk lie end to end in lanes that advance together, in tiles of steps that
+   fit a processor's cache: the probabilities of states of one tile are held, not of a text.
 4. The counts of each dictionary's words come back to their chunk by a join, and the scaled
    forward recursion gives every text's exact probability.
 
@@ -27,7 +29,7 @@ not read.
 
 from __future__ import annotations
 
-import re
+import heapq
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -39,7 +41,6 @@ from pyspark.sql import functions as F
 
 from courtside.llm.staging import Shared, fold
 
-_TOKEN = re.compile(rb"[^\x20\x09-\x0D]+")
 END = b""
 _LN10 = float(np.log(10))
 
@@ -97,7 +98,7 @@ def chunk_texts(docs: DataFrame, classes: int, tokens: int) -> DataFrame:
         task = context.partitionId() if context else 0
         for batch in batches:
             for key, text, out_of_training in zip(batch.column(0), batch.column(1), batch.column(2)):
-                found = _TOKEN.findall((text.as_py() or "").encode().lower())
+                found = (text.as_py() or "").encode().lower().split()  # at the white space of ASCII
                 found.append(END)
                 for word in set(found).difference(number):
                     number[word] = len(number)
@@ -135,78 +136,156 @@ def first_model(states: int, classes: int, seed: int = 1) -> Hidden:
     return Hidden(np.full(states, 1 / states), step, emit / emit.sum(axis=1, keepdims=True))
 
 
-def _batches(lengths: np.ndarray, tokens: int = 1 << 18) -> Iterator[np.ndarray]:
-    """Text numbers in groups of like length with about ``tokens`` tokens; longest first."""
-    order = np.argsort(-lengths, kind="stable")
-    at = 0
-    while at < len(order):
-        size = max(1, int(tokens // max(1, lengths[order[at]])))
-        yield order[at : at + min(size, 1024)]
-        at += min(size, 1024)
+LANES = 512  # sequences side by side
+TILE = 1 << 14  # steps times lanes whose states are held at once
+RESCALE = 8  # steps between two scalings; products of so few stay far above the smallest double
 
 
-def _grid(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Classes by position and sequence, and how many sequences reach each position."""
+@dataclass
+class Lanes:
+    """Class sequences laid end to end in lanes, so that one step serves all lanes at once.
+
+    ``grid``: classes by step and lane, longest lane first, a class more where a lane has ended.
+    ``owner``: the sequence of each lane at every step that scales. ``begin`` and ``end``: rows
+    of steps, lanes and sequences of all first and all last symbols, by step.
+    """
+
+    grid: np.ndarray
+    loads: np.ndarray
+    owner: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+
+    def live(self, at: int, size: int) -> list[int]:
+        """How many lanes reach each of ``size`` steps."""
+        return np.searchsorted(-self.loads, -np.arange(at, at + size)).tolist()
+
+
+def _lanes(sequences: list[np.ndarray], pad: int) -> Lanes:
+    """As few steps as the longest sequence and ``LANES`` allow; long sequences are placed first."""
     lengths = np.array([len(s) for s in sequences])
-    grid = np.zeros((lengths[0], len(sequences)), np.int32)
-    for j, s in enumerate(sequences):
-        grid[: len(s), j] = s
-    return grid, (lengths[None, :] > np.arange(lengths[0])[:, None]).sum(axis=1)
-
-
-def _forward(
-    emit: np.ndarray, live: np.ndarray, model: Hidden, alphas: np.ndarray | None = None
-) -> np.ndarray:
-    """Scales of every position and sequence; the scaled probabilities of states go to ``alphas``."""
-    onward = np.ascontiguousarray(model.step.T)
-    scales = np.ones(emit.shape[1:])
-    # a row per state: numpy's loops then run over the sequences
-    alpha = model.start[:, None] * emit[:, 0]
-    for t, k in enumerate(live.tolist()):
-        if t:
-            alpha = onward @ alpha[:, :k]
-            alpha *= emit[:, t, :k]
-        scale = scales[t, :k]
-        np.add.reduce(alpha, axis=0, out=scale)
-        alpha /= scale
-        if alphas is not None:
-            alphas[:, t, :k] = alpha
-    return scales
+    steps = max(int(lengths.max()), -(-int(lengths.sum()) // LANES))
+    lanes: list[tuple[int, int, list[int]]] = [(0, i, []) for i in range(-(-int(lengths.sum()) // steps))]
+    for j in np.argsort(-lengths, kind="stable").tolist():
+        load, i, own = lanes[0]
+        own.append(j)
+        heapq.heapreplace(lanes, (load + len(sequences[j]), i, own))
+    lanes.sort(key=lambda lane: -lane[0])
+    loads = np.array([load for load, _, _ in lanes])
+    grid = np.full((len(lanes), loads[0]), pad, np.int32)
+    owner = np.zeros((len(lanes), loads[0] // RESCALE), np.int32)
+    begin, end = [], []
+    for i, (load, _, own) in enumerate(lanes):
+        grid[i, :load] = np.concatenate([sequences[j] for j in own])
+        owner[i, : load // RESCALE] = np.repeat(own, lengths[own])[RESCALE - 1 :: RESCALE]
+        ends = np.cumsum(lengths[own])
+        begin.append(np.stack([ends - lengths[own], np.full(len(own), i), own]))
+        end.append(np.stack([ends - 1, np.full(len(own), i), own]))
+    begin, end = (x[:, np.argsort(x[0], kind="stable")] for x in (np.hstack(begin), np.hstack(end)))
+    return Lanes(np.ascontiguousarray(grid.T), loads, np.ascontiguousarray(owner.T), begin, end)
+
+
+def _cuts(events: np.ndarray, at: int, size: int) -> list[int]:
+    """Where the events of each of ``size`` steps begin, and where the last ones end."""
+    return np.searchsorted(events[0], np.arange(at, at + size + 1)).tolist()
+
+
+class _Recursions:
+    """Scaled forward recursion over lanes, tile by tile, a tile being some steps of all lanes.
+
+    Only the states before each tile are kept; ``tile`` computes one tile again.
+    """
+
+    def __init__(self, lanes: Lanes, model: Hidden):
+        self.lanes, self.model = lanes, model
+        (steps, n), states = lanes.grid.shape, len(model.start)
+        self.size = max(1, min(steps, TILE // n))
+        self.table = np.hstack([model.emit, np.zeros((states, 1))])
+        self.onward = np.ascontiguousarray(model.step.T)
+        # a step is one block of memory, a row per state: numpy's loops then run over the lanes
+        self.emit = np.zeros((self.size, states, n))
+        self.alphas = np.zeros((self.size + 1, states, n))
+        self.scales = np.ones((steps // RESCALE, n))
+        self.sums = np.ones(lanes.end.shape[1])
+        self.before = []
+        for at in range(0, steps, self.size):
+            self.before.append(self.alphas[0].copy())
+            size = self.tile(at, self.before[-1])
+            a, b = (int(x) for x in np.searchsorted(lanes.end[0], (at, at + size)))
+            last, lane, _ = lanes.end[:, a:b]
+            self.sums[a:b] = self.alphas[last - at + 1, :, lane].sum(axis=1)
+            self.alphas[0] = self.alphas[size]
+
+    def tile(self, at: int, before: np.ndarray) -> int:
+        """Fill ``emit`` and ``alphas`` from step ``at`` on; the number of steps."""
+        lanes, start, emit, alphas = self.lanes, self.model.start, self.emit, self.alphas
+        grid, n = lanes.grid[at : at + self.size].astype(np.intp), lanes.grid.shape[1]
+        size = len(grid)
+        for state, row in enumerate(self.table):
+            emit[:size, state] = row.take(grid)
+        alphas[0] = before
+        cuts = _cuts(lanes.begin, at, size)
+        for i, k in enumerate(lanes.live(at, size)):
+            earlier, alpha, factor = alphas[i], alphas[i + 1], emit[i]
+            if k < n:
+                earlier, alpha, factor = earlier[:, :k], alpha[:, :k], factor[:, :k]
+            np.matmul(self.onward, earlier, out=alpha)
+            if cuts[i] < cuts[i + 1]:
+                alpha.T[lanes.begin[1, cuts[i] : cuts[i + 1]]] = start
+            alpha *= factor
+            if (at + i) % RESCALE == RESCALE - 1:
+                scale = self.scales[(at + i) // RESCALE, :k]
+                np.add.reduce(alpha, axis=0, out=scale)
+                alpha /= scale
+        return size
+
+    def logs(self) -> np.ndarray:
+        """Natural log of each sequence's probability."""
+        logs = np.zeros(len(self.sums))
+        logs[self.lanes.end[2]] = np.log(self.sums)
+        return logs + np.bincount(self.lanes.owner.ravel(), np.log(self.scales).ravel(), len(logs))
 
 
 def forward(sequences: list[np.ndarray], model: Hidden) -> np.ndarray:
-    """Natural log of each class sequence's probability. Sequences: longest first."""
-    grid, live = _grid(sequences)
-    return np.log(_forward(model.emit.take(grid, axis=1), live, model)).sum(axis=0)
+    """Natural log of each class sequence's probability."""
+    return _Recursions(_lanes(sequences, model.emit.shape[1]), model).logs()
 
 
 def expected(sequences: list[np.ndarray], model: Hidden, sums: Hidden) -> float:
     """Add the expected counts of class sequences to ``sums``; their log probability."""
-    grid, live = _grid(sequences)
-    (steps, n), states = grid.shape, len(model.start)
-    used = np.arange(n)[None, :] < live[:, None]
-    emit = model.emit.take(grid, axis=1)
-    emit *= used
-    alphas = np.zeros((states, steps, n))
-    scales = _forward(emit, live, model, alphas)
-    emit /= scales
-    # from here ``emit`` becomes emission times backward probability
-    beta = np.ones((states, n))
-    for t in range(steps - 1, 0, -1):
-        back = emit[:, t, : live[t]]
-        back *= beta[:, : live[t]]
-        beta[:, : live[t]] = model.step @ back
-    emit[:, 0] *= beta
-    sums.start += model.start * emit[:, 0].sum(axis=1)
-    flat = grid[used]
-    earlier, back = alphas[:, :-1].reshape(states, -1), emit[:, 1:].reshape(states, -1)
-    sums.step += (earlier @ back.T) * model.step
-    for state in range(states):
-        gamma = emit[state]
-        gamma[0] *= model.start[state]
-        gamma[1:] *= (model.step[:, state] @ earlier).reshape(steps - 1, n)
-        sums.emit[state] += np.bincount(flat, weights=gamma[used], minlength=sums.emit.shape[1])
-    return float(np.log(scales).sum())
+    states, classes = model.emit.shape
+    lanes = _lanes(sequences, classes)
+    run = _Recursions(lanes, model)
+    steps, n = lanes.grid.shape
+    ones = 1 / run.sums[:, None]  # backward probability of last symbols, in scale with the forward one
+    betas, carry = np.zeros((run.size, states, n)), np.zeros((states, n))
+    for at in reversed(range(0, steps, run.size)):
+        size = run.tile(at, run.before.pop())
+        emit, alphas = run.emit[:size], run.alphas[: size + 1]
+        betas[size - 1] = carry
+        cuts, live = _cuts(lanes.end, at, size), lanes.live(at, size)
+        for i in range(size - 1, -1, -1):
+            k, beta, back, earlier = live[i], betas[i], emit[i], betas[i - 1] if i else carry
+            if k < n:
+                beta, back, earlier = beta[:, :k], back[:, :k], earlier[:, :k]
+            if cuts[i] < cuts[i + 1]:
+                beta.T[lanes.end[1, cuts[i] : cuts[i + 1]]] = ones[cuts[i] : cuts[i + 1]]
+            # from here ``emit`` becomes emission times backward probability
+            back *= beta
+            if (at + i) % RESCALE == RESCALE - 1:
+                back /= run.scales[(at + i) // RESCALE, :k]
+            np.matmul(model.step, back, out=earlier)
+        gamma = betas[:size]
+        gamma *= alphas[1:]
+        a, b = (int(x) for x in np.searchsorted(lanes.begin[0], (at, at + size)))
+        first, lane, _ = lanes.begin[:, a:b]
+        sums.start += gamma[first - at, :, lane].sum(axis=0)
+        emit[first - at, :, lane] = 0  # nothing steps into a first symbol
+        sums.step += np.matmul(alphas[:-1], emit.transpose(0, 2, 1)).sum(axis=0) * model.step
+        flat = lanes.grid[at : at + size].ravel().astype(np.intp)
+        for state in range(states):
+            sums.emit[state] += np.bincount(flat, gamma[:, state].ravel(), classes + 1)[:classes]
+    return float(run.logs().sum())
 
 
 def _round(chunks: DataFrame, model: Hidden) -> Hidden:
@@ -221,9 +300,9 @@ def _round(chunks: DataFrame, model: Hidden) -> Hidden:
                 lengths = np.frombuffer(row["lengths"], np.int64)
                 ends = np.cumsum(lengths)
                 chosen = np.flatnonzero(np.frombuffer(row["held"], np.int8) == 0)
-                for group in _batches(lengths[chosen]):
-                    texts = chosen[group]
-                    expected([kinds[ids[ends[t] - lengths[t] : ends[t]]] for t in texts], model, sums)
+                symbols = kinds[ids]
+                if len(chosen):
+                    expected([symbols[ends[t] - lengths[t] : ends[t]] for t in chosen], model, sums)
         values = np.concatenate([sums.start, sums.step.ravel(), sums.emit.ravel()])
         at = np.flatnonzero(values)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(values[at])], ["at", "n"])
@@ -314,9 +393,7 @@ def _scored(
                 base_scores = np.add.reduceat(logs[ids], starts) - lengths * base
                 within = np.add.reduceat((logs - share[kinds])[ids], starts)
                 known = np.add.reduceat((c > 0)[ids].astype(np.int64), starts)
-                hidden = np.zeros(len(lengths))
-                for group in _batches(lengths):
-                    hidden[group] = forward([kinds[ids[starts[t] : starts[t] + lengths[t]]] for t in group], model)
+                hidden = forward(np.split(kinds[ids], starts[1:]), model)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(keys, pa.string()),

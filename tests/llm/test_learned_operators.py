@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -209,6 +210,75 @@ def test_forward_equals_the_sum_over_paths():
     assert np.allclose(sums.emit.sum(axis=0), np.bincount(np.concatenate(seqs), minlength=6))
 
 
+def test_lanes_hold_every_sequence_once_in_few_steps():
+    """A step serves all lanes: no more steps than the longest text or the number of lanes demands."""
+    rng = np.random.default_rng(2)
+    for longest in (400, 4000):
+        seqs = [rng.integers(0, 6, n).astype(np.int32) for n in (3, longest, *rng.integers(1, 200, 2000))]
+        lanes = hidden_markov._lanes(seqs, 6)
+        assert len(lanes.grid) < 1.1 * max(longest, sum(map(len, seqs)) / hidden_markov.LANES)
+        assert (lanes.grid != 6).sum() == sum(map(len, seqs)) and lanes.begin.shape == lanes.end.shape == (3, len(seqs))
+        ends = {j: (t, lane) for t, lane, j in lanes.end.T.tolist()}
+        for t, lane, j in lanes.begin.T.tolist():
+            assert ends[j][1] == lane and (lanes.grid[t : ends[j][0] + 1, lane] == seqs[j]).all()
+
+
+@pytest.mark.parametrize("width, tile", [(1, 5), (3, 30), (512, 1 << 14)])
+def test_recursions_do_not_depend_on_lanes_and_tiles(monkeypatch, width, tile):
+    monkeypatch.setattr(hidden_markov, "LANES", width)
+    monkeypatch.setattr(hidden_markov, "TILE", tile)
+    rng, model = np.random.default_rng(3), hidden_markov.first_model(3, 6)
+    seqs = [rng.integers(0, 6, n).astype(np.int32) for n in (1, 8, 30, 7, 9, 1, 16, 64, 2, 1, 17)]
+    want = [_brute_forward(s, model) for s in seqs]
+    assert np.allclose(hidden_markov.forward(seqs, model), want, rtol=1e-12)
+    sums, alone = (hidden_markov.Hidden(np.zeros(3), np.zeros((3, 3)), np.zeros((3, 6))) for _ in range(2))
+    assert math.isclose(hidden_markov.expected(seqs, model, sums), sum(want), rel_tol=1e-12)
+    for s in seqs:  # expected counts by definition: probabilities of states given the whole text
+        ahead, behind = [model.start * model.emit[:, s[0]]], [np.ones(3)]
+        for c in s[1:]:
+            ahead.append(ahead[-1] @ model.step * model.emit[:, c])
+        for c in s[:0:-1]:
+            behind.append(model.step @ (model.emit[:, c] * behind[-1]))
+        behind, total = behind[::-1], ahead[-1].sum()
+        alone.start += ahead[0] * behind[0] / total
+        for t, c in enumerate(s):
+            alone.emit[:, c] += ahead[t] * behind[t] / total
+            if t:
+                alone.step += np.outer(ahead[t - 1], model.emit[:, c] * behind[t]) * model.step / total
+    for got, by_definition in zip(vars(sums).values(), vars(alone).values()):
+        assert np.allclose(got, by_definition, rtol=1e-10)
+
+
+def test_unlikely_classes_in_a_row_do_not_underflow():
+    """Emissions of 1e-25 a symbol, as in a corpus far beyond any size, between two scalings."""
+    model = hidden_markov.Hidden(np.full(2, 0.5), np.array([[0.9, 0.1], [0.2, 0.8]]), np.array([[1.0, 1e-25], [1.0, 1e-25]]))
+    seqs, sums = [np.ones(500, np.int32)], hidden_markov.Hidden(np.zeros(2), np.zeros((2, 2)), np.zeros((2, 2)))
+    assert math.isclose(hidden_markov.expected(seqs, model, sums), 500 * math.log(1e-25))
+    assert math.isclose(sums.emit.sum(), 500) and math.isclose(sums.step.sum(), 499)
+
+
+def test_a_long_text_takes_little_memory(monkeypatch):
+    """States of one tile of steps are held, not those of the whole text."""
+    monkeypatch.setattr(hidden_markov, "TILE", 1024, raising=False)
+    seq, model = np.arange(30_000, dtype=np.int32) % 60, hidden_markov.first_model(8, 60)
+    sums = hidden_markov.Hidden(np.zeros(8), np.zeros((8, 8)), np.zeros((8, 60)))
+    tracemalloc.start()
+    hidden_markov.expected([seq], model, sums)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert math.isclose(sums.emit.sum(), len(seq))
+    assert peak < 2 * 8 * 8 * len(seq) / 2  # half of all forward and backward states
+
+
+def test_tokens_are_cut_at_ascii_white_space_only(spark):
+    token = re.compile(rb"[^\x20\x09-\x0D]+")
+    text = "".join(f"{chr(c)}A" for c in range(256)) + "\u2003B\u00a0c  \u0085 d\x1ce \x0b\x0c"
+    rows = spark.createDataFrame([("1", text, False)], "key string, text string, held boolean")
+    row = hidden_markov.chunk_texts(rows, 64, 10).collect()[0]
+    got = [bytes(row["words"][i]) for i in hidden_markov.unpack(row["ids"])]
+    assert got == [*token.findall(text.encode().lower()), b""]
+
+
 def test_training_makes_the_texts_likelier():
     rng = np.random.default_rng(4)
     seqs = [np.concatenate([rng.integers(0, 4, 30), [8]]) if i % 2 else np.concatenate([rng.integers(4, 8, 30), [8]]) for i in range(40)]
